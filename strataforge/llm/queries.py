@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataforge.llm import bpe, ngram_join, packing, substring_dedup, warc
+from strataforge.llm import bpe, ngram_join, packing, quality_rules, substring_dedup, url_filter, warc
 from strataforge.llm.shared import work_folder
 
 
@@ -31,6 +31,20 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judges the URLs of all pages, with trees trained on those that the rules decide."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.fit(pages)
+    return url_filter.judge(pages, model).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of all documents."""
+    judged = quality_rules.judged(_read(spark, sf_dir, "documents"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *(F.col(f"{quality_rules.HELD}.{c}").alias(c) for c in names))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated windows of 35 words in all documents."""
     return substring_dedup.repeated_spans(_read(spark, sf_dir, "documents"), 35).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -46,7 +60,7 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_classes(_read(spark, sf_dir, "documents"), 75, 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe, op5_substring_dedup, op6_packing, op8_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe, op3_url_filter, op4_quality_rules, op5_substring_dedup, op6_packing, op8_ngram_jaccard)}
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -60,6 +74,22 @@ SELECT page_id, payload_bytes,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM g""",
+    "op4_quality_rules": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, p, array_to_string(w[p:p + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d WHERE len(w) >= 3)),
+rep AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, s) AS n FROM win) WHERE n > 1),
+cov AS (SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM rep) GROUP BY doc_id),
+line AS (SELECT doc_id, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, len(list_filter(l, lambda x: regexp_matches(x, '^[\\x20\\x09]*[-*•|]'))) AS n_bullets
+  FROM (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d)),
+m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, n_lines, n_bullets, length(regexp_replace(t, '[^!]', '', 'g')) AS n_bang,
+  len(list_filter(w, lambda x: lower(x) IN ({", ".join(f"'{x}'" for x in sorted(set(quality_rules.STOP_WORDS)))}))) AS n_stop
+  FROM d JOIN line USING (doc_id) LEFT JOIN cov USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars BETWEEN 1.5 * n_words AND 25 * n_words AND n_symbols <= 0.25 * n_words AND n_bang <= 0.5 * n_words
+  AND n_stop >= 0.02 * n_words AND n_dup_lines <= 0.5 * n_lines AND n_bullets <= 0.9 * n_lines AND n_words <= 10000000 AS kept
+FROM b""",
     "op5_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 win AS (SELECT doc_id, p, array_to_string(w[p:p + 34], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
