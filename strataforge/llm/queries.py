@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataforge.llm import bpe, ngram_join, packing, quality_rules, substring_dedup, url_filter, warc
+from strataforge.llm import bpe, ngram_join, packing, quality_mil, quality_rules, substring_dedup, toxicity, url_filter, warc
 from strataforge.llm.shared import work_folder
 
 
@@ -55,12 +55,26 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), 1024, 0)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores all documents by a lexicon learned from the training labels."""
+    docs = _read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity classes of all documents."""
     return ngram_join.similarity_classes(_read(spark, sf_dir, "documents"), 75, 5)
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe, op3_url_filter, op4_quality_rules, op5_substring_dedup, op6_packing, op8_ngram_jaccard)}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores all documents by multiple-instance learning from the training labels."""
+    docs = _read(spark, sf_dir, "documents")
+    model = quality_mil.fit(docs, _read(spark, sf_dir, "labels"))
+    return quality_mil.score(docs, model, 0.3).select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe, op3_url_filter, op4_quality_rules, op5_substring_dedup, op6_packing, op7_toxicity, op8_ngram_jaccard, op9_quality)}
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
