@@ -9,8 +9,8 @@ nothing: a document whose prefix holds only such tokens leaves the join at once,
 prefixes of the others are shuffled, without text.
 
 Equal sets are one node. Candidates of one token are not expanded into all pairs: rounds of stars
-(each node against one centre of its token's group) link most of a group, verified by exact
-intersection; after each round only pairs of different components remain of interest. What is
+(each node against one centre of its token's group; the first round's centres agree between tokens,
+the later ones' differ) link most of a group, verified by exact intersection; after each round only pairs of different components remain of interest. What is
 left is then enumerated in full, so no link is lost: the result is exact up to collisions of
 64-bit shingle hashes.
 
@@ -32,23 +32,29 @@ from strataforge.llm.repeats import in_blocks, member, repeated, unpacked
 from strataforge.llm.shared import Words, arrow_bytes, doc_runs, mix64, span_hashes, stored, window_hashes
 
 ORDERS = 3
-STAR_ROUNDS = 3
+STAR_ROUNDS = 5
 FILTER_BITS = 32  # of a shingle's hash, for counting blocks; a collision only moves a token in the orders
 _SEEDS = [np.uint64(0xA0761D6478BD642F + 0x1D8E4E27C47D124F * k & (1 << 64) - 1) for k in range(ORDERS)]
 
 
+def _every_shingle(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each shingle as it stands, and its document; fewer than ``n`` words are one shingle."""
+    hashes = words.hashes()
+    values, starts = window_hashes(hashes, words.first, n)
+    counts = np.diff(words.first)
+    doc = np.repeat(np.arange(len(counts)), np.maximum(counts - n + 1, 0))
+    few = np.flatnonzero((counts > 0) & (counts < n))
+    if len(few):
+        values = np.concatenate((values, span_hashes(hashes, words.first[few], words.first[few + 1])))
+        doc = np.concatenate((doc, few))
+    return values, doc
+
+
 def shingles(raw: np.ndarray, off: np.ndarray, n: int = 5):
     """Per run of documents: first row, (document in the run, shingle hash) sorted and distinct."""
     for a, b in doc_runs(off):
         words = Words(raw[off[a] : off[b]], off[a : b + 1] - off[a], lower=True)
-        hashes = words.hashes()
-        values, starts = window_hashes(hashes, words.first, n)
-        doc = np.searchsorted(words.first, starts, side="right") - 1
-        counts = np.diff(words.first)
-        few = np.flatnonzero((counts > 0) & (counts < n))
-        if len(few):
-            values = np.concatenate((values, span_hashes(hashes, words.first[few], words.first[few + 1])))
-            doc = np.concatenate((doc, few))
+        values, doc = _every_shingle(words, n)
         order = np.lexsort((values, doc))
         values, doc = values[order], doc[order]
         fresh = np.ones(len(values), bool)
@@ -70,7 +76,10 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
 
     def values_of(table: pa.Table) -> np.ndarray:
         raw, off = arrow_bytes(table.column("text"))
-        found = [np.unique(v >> shift) for *_, v in shingles(raw, off, n)]
+        found = []
+        for a, b in doc_runs(off):
+            values, _ = _every_shingle(Words(raw[off[a] : off[b]], off[a : b + 1] - off[a], lower=True), n)
+            found.append(np.unique(values >> shift))
         return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
     longs = T.ArrayType(T.LongType())
@@ -155,7 +164,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
             labelled = postings.withColumn("comp", F.col("node"))
         else:
             labelled = postings.join(roots, "node", "left").select("node", "n", "token", "place", F.coalesce("root", "node").alias("comp"))
-        open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))).alias("c")).filter("low <> high")
+        open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))).alias("c")).filter("low <> high")
         if turn < STAR_ROUNDS:
             hubs = open_tokens.select("token", "c.*")
             near = labelled.join(hubs, "token").filter((F.col("comp") != F.col("hub_comp")) & _possible(percent))
@@ -168,6 +177,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
             near = rest.join(other, "token").filter((F.col("node") < F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & _possible(percent))
             pairs = near.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
         found = stored(_verified(pairs, sets, percent), "links")
+        if turn and turn < STAR_ROUNDS and found.isEmpty():
+            continue
         edges = found if edges is None else edges.unionByName(found)
         roots = components(edges)
     return roots
