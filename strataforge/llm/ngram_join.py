@@ -164,7 +164,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
             labelled = postings.withColumn("comp", F.col("node"))
         else:
             labelled = postings.join(roots, "node", "left").select("node", "n", "token", "place", F.coalesce("root", "node").alias("comp"))
-        open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct(F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))).alias("c")).filter("low <> high")
+        open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct((F.col("place") * (100 + percent) > (100 - percent) * F.col("n")).alias("late"), F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))).alias("c")).filter("low <> high")
         if turn < STAR_ROUNDS:
             hubs = open_tokens.select("token", "c.*")
             near = labelled.join(hubs, "token").filter((F.col("comp") != F.col("hub_comp")) & _possible(percent))
@@ -173,9 +173,13 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
             rest = stored(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
             if rest.isEmpty():
                 break
-            other = rest.select("token", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))
-            near = rest.join(other, "token").filter((F.col("node") < F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & _possible(percent))
-            pairs = near.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+            # a pair is made at its first common token alone; tokens within one component cannot be common to it
+            own = rest.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).getField("token").alias("mine"))
+            rest = rest.join(own, "node")
+            other = rest.select("token", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"), F.col("mine").alias("theirs"))
+            first = F.element_at(F.array_intersect("mine", "theirs"), 1) == F.col("token")
+            near = rest.join(other, "token").filter((F.col("node") < F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & _possible(percent) & first)
+            pairs = near.select(F.col("node").alias("a"), F.col("hub").alias("b"))
         found = stored(_verified(pairs, sets, percent), "links")
         if turn and turn < STAR_ROUNDS and found.isEmpty():
             continue
