@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataforge.llm import bpe, ngram_join, packing, quality_mil, quality_rules, substring_dedup, toxicity, url_filter, warc
+from strataforge.llm import bpe, ivfpq, ngram_join, packing, quality_mil, quality_rules, substring_dedup, toxicity, url_filter, warc
 from strataforge.llm.shared import work_folder
 
 
@@ -74,7 +74,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.score(docs, model, 0.3).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe, op3_url_filter, op4_quality_rules, op5_substring_dedup, op6_packing, op7_toxicity, op8_ngram_jaccard, op9_quality)}
+def op10_ivfpq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest neighbours of every vector whose id is divisible by 20, among all vectors."""
+    return ivfpq.neighbours(_read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_bpe, op3_url_filter, op4_quality_rules, op5_substring_dedup, op6_packing, op7_toxicity, op8_ngram_jaccard, op9_quality, op10_ivfpq)}
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
