@@ -141,4 +141,8 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "te
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """Rows that pass all rules, with the input's columns."""
-    return judged(docs, rules, text_col).filter(F.col(f"{HELD}.kept")).select(*docs.columns)
+    # A column that is not deterministic keeps the optimizer from pushing the condition below the
+    # measures, where each use of a measure would be computed anew.
+    row = "__quality_row"
+    df = judged(docs, rules, text_col).withColumn(row, F.monotonically_increasing_id())
+    return df.filter(F.col(f"{HELD}.kept") & (F.col(row) >= 0)).select(*docs.columns)
