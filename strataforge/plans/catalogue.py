@@ -1,10 +1,8 @@
-"""Registered queries over the shared tables, with DuckDB SQL for each."""
+"""All registered queries over the shared tables, with DuckDB SQL for each that SQL can express."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from strataforge.plans import distribution_queries  # noqa: F401  registers
+from strataforge.plans.registry import QUERIES, SQL
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]
