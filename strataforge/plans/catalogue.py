@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strataforge.plans import distribution_queries  # noqa: F401  registers
+from strataforge.plans import distribution_queries, join_queries  # noqa: F401  they register
 from strataforge.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
