@@ -29,10 +29,12 @@ from pyspark.sql import types as T
 
 from strataforge.llm.components import components
 from strataforge.llm.repeats import in_blocks, member, repeated, unpacked
-from strataforge.llm.shared import Words, arrow_bytes, doc_runs, mix64, span_hashes, stored, window_hashes
+from strataforge.llm.shared import Words, arrow_bytes, distinct, doc_runs, mix64, span_hashes, stored, window_hashes
 
 ORDERS = 3
-STAR_ROUNDS = 5
+STAR_ROUNDS = 3
+#: Up to so many nodes, the nodes of a round's candidates are broadcast (16 bytes each) to fetch their sets.
+BROADCAST_NODES = 200_000
 FILTER_BITS = 32  # of a shingle's hash, for counting blocks; a collision only moves a token in the orders
 _SEEDS = [np.uint64(0xA0761D6478BD642F + 0x1D8E4E27C47D124F * k & (1 << 64) - 1) for k in range(ORDERS)]
 
@@ -79,8 +81,8 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
         found = []
         for a, b in doc_runs(off):
             values, _ = _every_shingle(Words(raw[off[a] : off[b]], off[a : b + 1] - off[a], lower=True), n)
-            found.append(np.unique(values >> shift))
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+            found.append(distinct(values >> shift))
+        return distinct(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
     longs = T.ArrayType(T.LongType())
     schema = T.StructType(
@@ -96,7 +98,7 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
         lists: list[list] = [[None] * table.num_rows for _ in range(ORDERS + 2)]
         runs = list(shingles(raw, off, n))
         every = np.sort(np.concatenate([np.zeros(0, np.uint64), *(v >> shift for *_, v in runs)]))
-        own = np.unique(every[1:][every[1:] == every[:-1]])
+        own = distinct(every[1:][every[1:] == every[:-1]])
         for a, m, doc, values in runs:
             cut = np.searchsorted(doc, np.arange(m + 1))
             short = values >> shift
@@ -133,8 +135,11 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the candidate pairs (a, b): those that share prefix tokens under the other orders too, and link."""
+    """Of the stored candidate pairs (a, b): those that share prefix tokens under the other orders too, and link."""
     rest = [f"prefix{k}" for k in range(1, ORDERS)]
+    nodes = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
+    if nodes.count() <= BROADCAST_NODES:  # few: only their sets are shuffled
+        sets = sets.join(F.broadcast(nodes), "node")
     side = lambda c: sets.select(F.col("node").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in (*rest, "tokens", "n_shingles")))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     meets = F.lit(True)
@@ -180,7 +185,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
             first = F.element_at(F.array_intersect("mine", "theirs"), 1) == F.col("token")
             near = rest.join(other, "token").filter((F.col("node") < F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & _possible(percent) & first)
             pairs = near.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        found = stored(_verified(pairs, sets, percent), "links")
+        found = stored(_verified(stored(pairs, "pairs"), sets, percent), "links")
         if turn and turn < STAR_ROUNDS and found.isEmpty():
             continue
         edges = found if edges is None else edges.unionByName(found)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataforge.llm.repeats import bucket_bits, in_blocks, member, repeated, unpacked
-from strataforge.llm.shared import Words, arrow_bytes, doc_runs, window_hashes
+from strataforge.llm.shared import Words, arrow_bytes, distinct, doc_runs, window_hashes
 
 
 def _window_values(raw: np.ndarray, off: np.ndarray, width: int):
@@ -74,7 +74,7 @@ def repeated_spans(docs: DataFrame, width: int = 35, id_col: str = "doc_id", tex
     def values_of(table: pa.Table) -> np.ndarray:
         raw, off = arrow_bytes(table.column("text"))
         found = [v for _, _, v, _ in _window_values(raw, off, width)]
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+        return distinct(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *OUT.fields, *([T.StructField(text_col, T.StringType()), T.StructField("kept", T.StringType())] if with_text else [])])
 
@@ -83,7 +83,7 @@ def repeated_spans(docs: DataFrame, width: int = 35, id_col: str = "doc_id", tex
         raw, off = arrow_bytes(table.column("text"))
         runs = list(_window_values(raw, off, width))
         every = np.sort(np.concatenate([v for _, _, v, _ in runs])) if runs else np.zeros(0, np.uint64)
-        own = np.unique(every[1:][every[1:] == every[:-1]])
+        own = distinct(every[1:][every[1:] == every[:-1]])
         n_words, n_gone, spans, shas, kept = [], [], [], [], []
         for _, words, values, starts in runs:
             twice = member(values, shared) | member(values, own)
