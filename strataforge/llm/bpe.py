@@ -362,7 +362,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Encodes blocks of documents, keeping ids of slices met before. One per Python worker and vocabulary."""
 
-    def __init__(self, path: str, most: int = 300_000) -> None:
+    def __init__(self, path: str, most: int = 200_000) -> None:
         self.vocab, self.most = Vocabulary(path), most
         self._clear()
 

@@ -190,7 +190,7 @@ def span_hashes(words: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nd
     return mix64(own + (stop - start).astype(np.uint64) * np.uint64(BYTE_BASE))
 
 
-def doc_runs(off: np.ndarray, most: int = 2_000_000) -> list[tuple[int, int]]:
+def doc_runs(off: np.ndarray, most: int = 500_000) -> list[tuple[int, int]]:
     """Cuts rows into runs of about ``most`` bytes at row boundaries; a longer row stands alone."""
     runs, at, n = [], 0, len(off) - 1
     while at < n:

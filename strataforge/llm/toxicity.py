@@ -169,7 +169,7 @@ def _counts(rows: DataFrame) -> DataFrame:
             for a, b in doc_runs(off):
                 for label, text in zip(y[a:b], folded(raw[off[a] : off[b]], off[a : b + 1] - off[a]), strict=True):
                     counts[label].update(_beginnings(text))
-                if len(counts[0]) + len(counts[1]) > 300_000:
+                if len(counts[0]) + len(counts[1]) > 100_000:
                     yield flush()
         yield flush()
 
@@ -221,19 +221,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float) -> tuple[list[float],
     return beta[1:].tolist(), float(beta[0])
 
 
-def _hits(rows: DataFrame, model: Model, key: str, text_col: str = "text") -> DataFrame:
-    """(id, total, words) of each row, with ``key`` as id."""
+def _hits(rows: DataFrame, model: Model, key: str, text_col: str | None = "text") -> DataFrame:
+    """(id, total, words) of each row, with ``key`` as id. Without ``text_col`` the key is a struct that holds the text as ``text``."""
     schema = T.StructType([T.StructField("id", rows.schema[key].dataType), T.StructField("total", T.DoubleType()), T.StructField("words", T.DoubleType())])
+    place = None if text_col else rows.schema[key].dataType.names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.automaton()
         for batch in batches:
-            raw, off = arrow_bytes(batch.column(1))
+            raw, off = arrow_bytes(batch.column(1) if place is None else batch.column(0).field(place))
             found = [totals(folded(raw[off[a] : off[b]], off[a : b + 1] - off[a]), automaton) for a, b in doc_runs(off)]
             hits = np.concatenate(found) if found else np.zeros((0, 2))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.ascontiguousarray(hits[:, 0])), pa.array(np.ascontiguousarray(hits[:, 1]))], names=schema.names)
 
-    return rows.select(F.col(key), F.col(text_col)).mapInArrow(run, schema)
+    return rows.select(F.col(key), *([F.col(text_col)] if text_col else [])).mapInArrow(run, schema)
 
 
 def _score(model: Model) -> F.Column:
@@ -251,6 +252,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """Rows whose score lies below the threshold, with the input's columns."""
-    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
-    hits = _hits(rows, model, "row").filter(_score(model) < threshold)
-    return hits.select("id.*")
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(F.col(text_col).alias("text"), F.struct(*(F.col(c) for c in others)).alias("rest")).alias("row"))
+    hits = _hits(rows, model, "row", None).filter(_score(model) < threshold)
+    return hits.select(*(F.col("id.text").alias(c) if c == text_col else F.col("id.rest")[c].alias(c) for c in docs.columns))
