@@ -7,6 +7,7 @@ type, so it is held as ``decimal(20, 0)``, and all comparisons stay in integers.
 from __future__ import annotations
 
 import uuid
+from decimal import Decimal
 from fractions import Fraction
 from math import ceil
 
@@ -15,6 +16,11 @@ from pyspark.sql import functions as F
 
 SPAN = 1 << 64
 
+def _wide(n: int) -> Column:
+    """A literal beyond 64 signed bits."""
+    return F.lit(Decimal(n)).cast("decimal(20,0)")
+
+
 def payload(*parts: Column | str, sep: str = ":") -> Column:
     """Parts joined by ``sep``; string arguments are literals, so that domains can be told apart."""
     return F.concat_ws(sep, *(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
@@ -49,7 +55,7 @@ def below(data: Column, total: Column) -> Column:
     """Integer draw in [0, total), exact: draw * total div 2^64. Null for a total that is not positive."""
     scaled = u64(data).cast("decimal(20,0)") * total.cast("decimal(17,0)")
     # the quotient's 64 binary places are cut after the whole part: subtract the remainder, then divide exactly
-    span = F.lit(SPAN).cast("decimal(20,0)")
+    span = _wide(SPAN)
     return F.when(total > 0, ((scaled - scaled % span) / span).cast("long"))
 
 
@@ -61,7 +67,7 @@ def threshold(p: Fraction | str | float) -> int:
 def bernoulli(data: Column, p: Fraction | str | float) -> Column:
     """True with probability p."""
     t = threshold(p)
-    return F.lit(True) if t >= SPAN else u64(data) < F.lit(t).cast("decimal(20,0)")
+    return F.lit(True) if t >= SPAN else u64(data) < _wide(t)
 
 
 def pick(data: Column, items: Column) -> Column:
@@ -79,7 +85,7 @@ def rate_label(data: Column, rates: list[tuple[str, str]], rest: str) -> Column:
         steps.append((label, min(ceil(total * SPAN), SPAN)))
     out = F.lit(rest)
     for label, limit in reversed(steps):
-        out = F.when(draw < F.lit(limit).cast("decimal(20,0)"), F.lit(label)).otherwise(out)
+        out = F.when(draw < _wide(limit), F.lit(label)).otherwise(out)
     return out
 
 

@@ -114,8 +114,8 @@ def attach_by_quota(df: DataFrame, eligible: Column, sex: str, marginal: DataFra
 def audited_marginal(table: DataFrame, key: str, count: str, total: int | None, flag: str = "eligible") -> DataFrame:
     """Checks a marginal before it is filtered, then keeps its eligible rows: unique keys, no negative count, the expected total."""
     n = table.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.sum(count).alias(count), F.bool_and(flag).alias(flag))
-    whole = F.sum(count).over(Window.partitionBy(F.lit(0)))
-    bad = F.when(F.col("__n") != 1, "a key repeats").when(F.col(count) < 0, "a count is negative").when(F.lit(total is not None) & (whole != F.lit(total or 0)), "the total differs")
+    n = n.withColumn("__whole", F.sum(count).over(Window.partitionBy(F.lit(0))))
+    bad = F.when(F.col("__n") != 1, "a key repeats").when(F.col(count) < 0, "a count is negative").when(F.lit(total is not None) & (F.col("__whole") != F.lit(total or 0)), "the total differs")
     return n.filter(F.when(bad.isNull(), F.lit(True)).otherwise(F.raise_error(bad).cast("boolean"))).filter(flag).select(key, count)
 
 
@@ -128,9 +128,7 @@ def water_filled(rooms: DataFrame, key: str, weight: str, room: str, slots: int,
     out = rooms.withColumn("quota", F.lit(0).cast("long"))
     w = Window.partitionBy(F.lit(0))
     for _ in range(rounds):
-        left = F.lit(slots) - F.sum("quota").over(w)
-        step = out.withColumn("__left", F.greatest(left, F.lit(0)).cast("long")).withColumn("__w", F.when(F.col("quota") < F.col(room), F.col(weight)).otherwise(F.lit(0)).cast("long"))
-        more = largest_remainder(step.drop("quota"), [key], "__w", F.col("__left"))
-        out = more.withColumnRenamed("quota", "__more").join(out.select(key, "quota"), key)
-        out = out.withColumn("quota", F.least(F.col(room).cast("long"), F.col("quota") + F.col("__more"))).drop("__left", "__w", "__more")
+        left = F.greatest(F.lit(slots) - F.sum("quota").over(w), F.lit(0)).cast("long")
+        step = out.withColumn("__left", left).withColumn("__w", F.when(F.col("quota") < F.col(room), F.col(weight)).otherwise(F.lit(0)).cast("long")).withColumnRenamed("quota", "__had")
+        out = largest_remainder(step, [key], "__w", F.col("__left")).withColumn("quota", F.least(F.col(room).cast("long"), F.col("__had") + F.col("quota"))).drop("__left", "__w", "__had")
     return out
