@@ -111,7 +111,7 @@ def fit(rows: DataFrame, n: int, fit_rows: int = FIT_ROWS) -> Index:
     if not dim:
         return Index(0, np.zeros((1, 1)), np.zeros((1, 1, 1)), 1)
     x = np.unique(np.array([r[0] for r in got if len(r[0]) == dim], np.float64), axis=0)
-    cells = int(max(1, min(2 * n**0.5, len(x) / 20, 4096)))
+    cells = int(max(1, min(n**0.5, len(x) / 20, 4096)))
     coarse = _kmeans(x, cells, 12, 11)
     parts = min(PARTS, dim)
     width = -(-dim // parts)
@@ -205,7 +205,7 @@ def _search(base: DataFrame, probes: DataFrame, index: Index, top: int) -> DataF
 
 def _best(found: DataFrame, top: int) -> DataFrame:
     by = Window.partitionBy("query").orderBy(F.desc("score"), "id")
-    return found.distinct().withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= top)
+    return found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= top)
 
 
 def neighbours(vectors: DataFrame, is_query: F.Column, top: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", fit_rows: int = FIT_ROWS) -> DataFrame:
