@@ -33,8 +33,9 @@ from strataforge.llm.shared import stored
 FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
 TILE_ROWS, TILE_QUERIES = 4096, 1024
-RERANK = 120
-COVER = 0.96
+#: A tile reranks so many of its rows exactly, and no less than this share: a full cell holds vectors that codes hardly tell apart.
+RERANK, RERANK_SHARE = 120, 6
+COVER = 0.97
 
 
 @dataclass
@@ -182,7 +183,7 @@ def _search(base: DataFrame, probes: DataFrame, index: Index, top: int) -> DataF
         ids, x = ids[order], _matrix(left.column("v"), index.dim)[order]
         code = np.frombuffer(b"".join(left.column("code").to_pylist()), np.uint8).reshape(len(ids), -1)[order]
         q_ids, q = right.column("id").to_numpy(), _matrix(right.column("v"), index.dim)
-        take = min(len(ids), max(RERANK, top))
+        take = min(len(ids), max(RERANK, top, len(ids) // RERANK_SHARE))
         got = [[], [], []]
         for a in range(0, len(q), 128):
             part = q[a : a + 128]
