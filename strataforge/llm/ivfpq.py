@@ -34,8 +34,8 @@ FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
 TILE_ROWS, TILE_QUERIES = 4096, 1024
 #: A tile reranks so many of its rows exactly, and no less than this share: a full cell holds vectors that codes hardly tell apart.
-RERANK, RERANK_SHARE = 120, 6
-COVER = 0.97
+RERANK, RERANK_SHARE = 120, 3
+COVER = 0.98
 
 
 @dataclass
