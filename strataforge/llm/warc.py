@@ -24,17 +24,17 @@ import zlib
 from collections.abc import Iterator
 from itertools import count
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the UUID namespace for URLs
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the WARC 1.1 standard
 BINS = 4096
+MOST_SHARDS = 50_000
 
 
 def base32_sha1(data: bytes) -> str:
@@ -47,31 +47,46 @@ def _decisions(pages: DataFrame, least: int) -> DataFrame:
     return pages.select("key", "sha", "size").distinct().join(groups, ["sha", "size"]).select("key", "sha", "target")
 
 
-def _shards(pages: DataFrame, shard_bytes: int, min_shards: int) -> tuple[F.Column, int]:
-    """A column with the shard of each key, and how many shards there are."""
+def _place(bounds: list[int], key: Column) -> Column:
+    """How many of the sorted bounds the key reaches, by binary search; 0 for null."""
+    table = F.from_json(F.lit(json.dumps(bounds)), "array<bigint>")
+    half = lambda x: F.shiftright(x["lo"] + x["hi"], 1)
+    step = lambda x, _: F.when(x["lo"] >= x["hi"], x).when(F.get(table, half(x)) <= key, F.struct((half(x) + 1).alias("lo"), x["hi"].alias("hi"))).otherwise(F.struct(x["lo"].alias("lo"), half(x).alias("hi")))
+    steps = F.array_repeat(F.lit(0), len(bounds).bit_length() + 1)
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), step, lambda x: x["lo"])
+    return F.when(key.isNull(), F.lit(0)).otherwise(found).cast("int")
+
+
+def _shards(pages: DataFrame, shard_bytes: int, min_shards: int) -> tuple[Column, int]:
+    """A column with the shard of each key, and how many shards there are.
+
+    Key ranges that hold more than a shard are cut into equal steps, round by round, until each fits
+    or holds one key; ranges in order then fill shards. All of it follows from the rows alone.
+    """
     low, high, total = pages.agg(F.min("key"), F.max("key"), F.sum("size")).first()
     if low is None:
         return F.lit(0), 1
-    target = max(1, min(shard_bytes, -(-int(total or 0) // min_shards)))
-    width = (high - low) // BINS + 1
-    place = F.coalesce(((F.col("key") - F.lit(low)) / F.lit(width)).cast("long"), F.lit(0)).cast("int")
-    sizes = dict(pages.groupBy(place.alias("bin")).agg(F.sum("size")).collect())
-    first, inside, shard, filled = [], [], 0, 0
-    for b in range(BINS):
-        size = int(sizes.get(b, 0))
-        if filled and filled + size > target:
-            shard, filled = shard + 1, 0
-        split = max(1, min(-(-size // target), width))
-        first.append(shard)
-        inside.append(int(split))
-        shard, filled = (shard + split, 0) if split > 1 else (shard, filled + size)
-    spot = place + 1
-    within = F.coalesce((F.col("key") - F.lit(low)) % F.lit(width), F.lit(0))
-    split = F.element_at(F.array(*map(F.lit, inside)), spot)
-    column = F.element_at(F.array(*map(F.lit, first)), spot)
-    if max(inside) > 1:  # a heavy bin holds several shards, by equal steps of the key
-        column = column + (within * split / F.lit(width)).cast("int")
-    return column.cast("int"), shard + 1
+    target = max(1, min(shard_bytes, -(-int(total or 0) // min_shards)), -(-int(total or 0) // MOST_SHARDS))
+    cells: dict[int, list[int]] = {low: [high + 1, int(total or 0)]}  # start: stop, bytes
+    while heavy := {a: c for a, c in cells.items() if c[1] > target and c[0] - a > 1}:
+        starts = sorted(cells)
+        spans = {a: -(-(c[0] - a) // max(2, min(BINS, BINS * 64 // len(heavy)))) for a, c in heavy.items()}
+        cell = _place(starts[1:], F.col("key"))
+        begin, width = (F.from_json(F.lit(json.dumps(x)), "array<bigint>") for x in (starts, [spans.get(a, 0) for a in starts]))
+        counted = pages.filter("key is not null").select(F.get(begin, cell).alias("a"), F.get(width, cell).alias("w"), "key", "size").filter("w > 0")
+        parts = counted.groupBy("a", "w", F.expr("(key - a) div w").alias("b")).agg(F.sum("size").alias("n")).collect()
+        for a in heavy:
+            del cells[a]
+        for r in parts:
+            x = r["a"] + r["b"] * r["w"]
+            cells[x] = [min(x + r["w"], heavy[r["a"]][0]), int(r["n"])]
+    bounds, filled = [], 0
+    for a in sorted(cells):
+        if filled and filled + cells[a][1] > target:
+            bounds.append(a)
+            filled = 0
+        filled += cells[a][1]
+    return _place(bounds, F.col("key")), len(bounds) + 1
 
 
 def _record(kind: str, key, url: str | None, payload: bytes, size: int, sha: bytes, target, ordinal: int, date: str) -> bytes:
@@ -137,7 +152,6 @@ def write_warc(pages: DataFrame, folder: str, key_col: str = "page_id", url_col:
     ``key_col`` is an integer column. Shards hold about ``min(shard_bytes, total / min_shards)``
     payload bytes; ``roll_bytes`` bounds a file's compressed size but for its last record.
     """
-    spark = pages.sparkSession
     rows = pages.select(F.col(key_col).cast("long").alias("key"), F.col(url_col).alias("url"), F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("size", F.octet_length("payload").cast("long")).withColumn("sha", F.unhex(F.sha1("payload")))
     narrow = rows.select("key", "size", "sha")
@@ -145,7 +159,7 @@ def write_warc(pages: DataFrame, folder: str, key_col: str = "page_id", url_col:
     marks = _decisions(narrow, least_revisit)
     both = rows.select("key", "url", "payload", "size", "sha", F.lit(None).cast("long").alias("target"), F.lit(1).alias("order"), F.lit(False).alias("mark"))
     both = both.unionByName(marks.select("key", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), F.lit(None).cast("long").alias("size"), "sha", "target", F.lit(0).alias("order"), F.lit(True).alias("mark")))
-    dealt = both.withColumn("shard", shard).repartition(min(shards, max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))), "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "sha", "order", "url")
+    dealt = both.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "sha", "order", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex[:8]}"
