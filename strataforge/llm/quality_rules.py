@@ -136,13 +136,12 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "te
     failed = F.filter(F.array(*failing), lambda x: x.isNotNull()) if failing else F.array().cast("array<string>")
     names = df.schema[HELD].dataType.names
     df = df.withColumn(HELD, F.struct(*(h(f).alias(f) for f in names), base.alias("base_failed"), failed.alias("failed")))
-    return df.withColumn(HELD, F.struct(*(h(f).alias(f) for f in (*names, "base_failed", "failed")), (~h("base_failed") & (F.size(h("failed")) == 0)).alias("kept")))
+    kept = (~h("base_failed") & (F.size(h("failed")) == 0)).alias("kept")
+    # A field that is not deterministic keeps the optimizer from pushing a later filter below the
+    # measures, where each use of a measure would be computed anew.
+    return df.withColumn(HELD, F.struct(*(h(f).alias(f) for f in (*names, "base_failed", "failed")), kept, F.monotonically_increasing_id().alias("mark")))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """Rows that pass all rules, with the input's columns."""
-    # A column that is not deterministic keeps the optimizer from pushing the condition below the
-    # measures, where each use of a measure would be computed anew.
-    row = "__quality_row"
-    df = judged(docs, rules, text_col).withColumn(row, F.monotonically_increasing_id())
-    return df.filter(F.col(f"{HELD}.kept") & (F.col(row) >= 0)).select(*docs.columns)
+    return judged(docs, rules, text_col).filter(F.col(f"{HELD}.kept")).select(*docs.columns)
