@@ -32,7 +32,7 @@ from strataforge.llm.repeats import in_blocks, member, repeated, unpacked
 from strataforge.llm.shared import Words, arrow_bytes, distinct, doc_runs, mix64, span_hashes, stored, window_hashes
 
 ORDERS = 3
-STAR_ROUNDS = 3
+STAR_ROUNDS = 5
 #: Up to so many nodes, the nodes of a round's candidates are broadcast (16 bytes each) to fetch their sets.
 BROADCAST_NODES = 200_000
 FILTER_BITS = 32  # of a shingle's hash, for counting blocks; a collision only moves a token in the orders
@@ -157,36 +157,48 @@ def _possible(percent: int) -> F.Column:
     return sizes & ((100 + percent) * (1 + F.least(n - p - 1, m - q - 1)) >= percent * (n + m))
 
 
+def _reachable(percent: int) -> F.Column:
+    """Prefix filter of a pair whose prefixes' common tokens are all known: those and the larger rest must do.
+
+    Of the two prefixes, take the one that ends first in the global order: common tokens up to its end
+    lie in both prefixes, and those behind it in the rest of its own set.
+    """
+    rest = lambda c: F.ceil(F.col(c) * percent / 100) - 1  # noqa: E731  tokens behind the prefix
+    common = F.size(F.array_intersect("mine", "theirs"))
+    return (100 + percent) * (common + F.greatest(rest("n"), rest("m"))) >= percent * (F.col("n") + F.col("m"))
+
+
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of all linked nodes."""
-    postings = stored(sets.select("node", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("prefix0", "places")).alias("t")).select("node", "n", F.col("t.prefix0").alias("token"), F.col("t.places").alias("place")), "postings")
-    groups = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-    postings = stored(postings.join(groups, "token"), "postings")
+    postings = sets.select("node", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("prefix0", "places")).alias("t")).select("node", "n", F.col("t.prefix0").alias("token"), F.col("t.places").alias("place"))
+    postings = stored(postings, "postings")
+    late = (F.col("place") * (100 + percent) > (100 - percent) * F.col("n")).alias("late")
     edges, roots = None, None
     for turn in range(STAR_ROUNDS + 1):
-        # postings with the component of each node; a token whose nodes are all of one component is done
+        # postings with the component of each node; a token whose nodes are all of one component is done with
         if roots is None:
             labelled = postings.withColumn("comp", F.col("node"))
         else:
             labelled = postings.join(roots, "node", "left").select("node", "n", "token", "place", F.coalesce("root", "node").alias("comp"))
-        open_tokens = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct((F.col("place") * (100 + percent) > (100 - percent) * F.col("n")).alias("late"), F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))).alias("c")).filter("low <> high")
+        hub = F.min(F.struct(late, F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp")))
+        hubs = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), hub.alias("c")).filter("low <> high").select("token", "c.*")
+        if turn:
+            hubs = stored(hubs, "hubs")
+            labelled = stored(labelled.join(hubs.select("token"), "token", "left_semi"), "postings")
+            postings = labelled.drop("comp")
         if turn < STAR_ROUNDS:
-            hubs = open_tokens.select("token", "c.*")
             near = labelled.join(hubs, "token").filter((F.col("comp") != F.col("hub_comp")) & _possible(percent))
             pairs = near.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         else:  # all that is left, in full
-            rest = stored(labelled.join(open_tokens.select("token"), "token", "left_semi"), "open")
-            if rest.isEmpty():
-                break
             # a pair is made at its first common token alone; tokens within one component cannot be common to it
-            own = rest.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).getField("token").alias("mine"))
-            rest = rest.join(own, "node")
+            own = labelled.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).getField("token").alias("mine"))
+            rest = stored(labelled.join(own, "node"), "open")
             other = rest.select("token", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"), F.col("mine").alias("theirs"))
             first = F.element_at(F.array_intersect("mine", "theirs"), 1) == F.col("token")
-            near = rest.join(other, "token").filter((F.col("node") < F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & _possible(percent) & first)
+            near = rest.join(other, "token").filter((F.col("node") < F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & _possible(percent) & first & _reachable(percent))
             pairs = near.select(F.col("node").alias("a"), F.col("hub").alias("b"))
         found = stored(_verified(stored(pairs, "pairs"), sets, percent), "links")
-        if turn and turn < STAR_ROUNDS and found.isEmpty():
+        if turn and found.isEmpty():
             continue
         edges = found if edges is None else edges.unionByName(found)
         roots = components(edges)
