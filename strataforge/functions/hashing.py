@@ -60,8 +60,8 @@ def below(data: Column, total: Column) -> Column:
 
 
 def threshold(p: Fraction | str | float) -> int:
-    """Least integer t with t / 2^64 >= p, so that ``draw < t`` has probability p."""
-    return ceil(Fraction(str(p)) * SPAN) if not isinstance(p, Fraction) else ceil(p * SPAN)
+    """Least integer t with t / 2^64 >= p, so that ``draw < t`` has probability p. A float counts as what it holds in binary, text as the decimal."""
+    return ceil(Fraction(p) * SPAN)
 
 
 def bernoulli(data: Column, p: Fraction | str | float) -> Column:
