@@ -11,9 +11,8 @@ from collections import deque
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from strataforge.operators.quota import largest_remainder, round_robin, stratified_head
+from strataforge.operators.quota import first_rows, largest_remainder, round_robin, stratified_head
 
 Cell = tuple[tuple, str]
 MOST_CELLS = 1_000_000
@@ -143,5 +142,5 @@ def frozen(df: DataFrame, strata: list[str], origin: str, id_col: str, slots: in
     counts = balanced(available, chosen, quotas)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*strata, origin).schema.fields) + ", `__take` long"
     take = df.sparkSession.createDataFrame([(*s, o, n) for (s, o), n in sorted(counts.items(), key=repr) if n], schema)
-    place = F.row_number().over(Window.partitionBy(*strata, origin).orderBy(F.col("__first").isNull(), id_col))
-    return marked.withColumn("__i", place).join(take, [*strata, origin]).filter(F.col("__i") <= F.col("__take")).select(*df.columns)
+    marked = marked.withColumn("__late", F.col("__first").isNull())
+    return first_rows(marked, [*strata, origin], ["__late", id_col], take, "__take").select(*df.columns)

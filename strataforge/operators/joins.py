@@ -77,15 +77,20 @@ def attach_one(df: DataFrame, extra: DataFrame, key: str) -> DataFrame:
     return single(df, "left").join(single(extra, "right"), key, "left")
 
 
-def numbered(df: DataFrame, order: list[str | Column], by: list[str] | None = None, name: str = "row_idx") -> DataFrame:
-    """Adds a row number from 0. With ``by`` it restarts in each group; without, it is dealt over range partitions.
+def numbered(df: DataFrame, order: list[str | Column], by: list[str] | None = None, name: str = "row_idx", spread: bool = False) -> DataFrame:
+    """Adds a row number from 0; with ``by`` it restarts in each group.
 
-    The global form sorts by range, counts each partition and adds the totals before it, so no
-    task sees all rows.
+    Without groups, and with ``spread``, rows are dealt over range partitions, so that no task sees all
+    rows or all of a hot group; groups alone are numbered by a window, a task for each.
     """
-    if by:
+    if not by:
+        return ranged_index(df, order, name)
+    if not spread:
         return df.withColumn(name, (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("long"))
-    return ranged_index(df, order, name)
+    index = ranged_index(df, [*by, *order], "__row")
+    starts = index.groupBy(*by).agg(F.min("__row").alias("__start")).withColumnsRenamed({c: f"__{c}" for c in by})
+    match = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by))
+    return index.join(starts, match).withColumn(name, F.col("__row") - F.col("__start")).drop("__row", "__start", *(f"__{c}" for c in by))
 
 
 def ranged_index(df: DataFrame, order: list[str | Column], name: str = "row_idx") -> DataFrame:

@@ -75,25 +75,40 @@ def group_quota_draw(groups: DataFrame, key: str, weight: str, slots: int, insid
     return weighted_draw(rows, inside, [key], value, inside_weight, payload(seed, F.col(key), F.col("copy")), value)
 
 
+SALTS = 16
+
+
+def first_rows(df: DataFrame, strata: list[str], order: list[str | Column], quotas: DataFrame, quota: str = "quota") -> DataFrame:
+    """The first rows of each stratum in a total order, as many as its quota.
+
+    Ranked twice: inside parts of a stratum dealt by hash, where no more than the quota stay, then
+    among those. A stratum with a third of all rows is sorted by ``SALTS`` tasks instead of one.
+    """
+    part = F.pmod(F.xxhash64(*order), F.lit(SALTS))
+    out = df.join(quotas.select(*strata, F.col(quota).alias("__quota")), strata).filter("__quota > 0").withColumn("__part", part)
+    for by in ([*strata, "__part"], strata):
+        out = out.withColumn("__i", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("__i") <= F.col("__quota"))
+    return out.select(*df.columns)
+
+
 def stratified_head(df: DataFrame, strata: list[str], order: list[str], slots: int) -> DataFrame:
     """The first rows of each stratum, as many as its proportional quota."""
     sizes = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("__n"))
     quota = largest_remainder(sizes, strata, "__n", slots).select(*strata, "quota")
-    ranked = df.withColumn("__i", F.row_number().over(Window.partitionBy(*strata).orderBy(*order)))
-    return ranked.join(quota, strata).filter(F.col("__i") <= F.col("quota")).drop("__i", "quota")
+    return first_rows(df, strata, order, quota)
 
 
 def round_robin(df: DataFrame, strata: list[str], order: list[str], slots: int) -> DataFrame:
     """One row of each stratum in turn, strata in order, until there are enough; ``depth`` from 1."""
-    ranked = df.withColumn("depth", F.row_number().over(Window.partitionBy(*strata).orderBy(*order)))
-    return ranked.orderBy("depth", *strata).limit(slots)
+    part = df.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    for by, name in (([*strata, "__part"], "__depth"), (strata, "depth")):  # no stratum gives more than ``slots`` rows
+        part = part.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(name) <= slots)
+    return part.drop("__part", "__depth").orderBy("depth", *strata).limit(slots)
 
 
 def hash_ranked(df: DataFrame, strata: list[str], id_col: str, quotas: DataFrame, seed: str, quota: str = "quota") -> DataFrame:
     """The rows of each stratum with the smallest hashes, as many as its quota."""
-    h = F.sha2(payload(seed, F.col(id_col)), 256)
-    ranked = df.withColumn("__i", F.row_number().over(Window.partitionBy(*strata).orderBy(h, id_col)))
-    return ranked.join(quotas.select(*strata, quota), strata).filter(F.col("__i") <= F.col(quota)).drop("__i", quota)
+    return first_rows(df, strata, [F.sha2(payload(seed, F.col(id_col)), 256), F.col(id_col)], quotas, quota)
 
 
 def hash_top(df: DataFrame, id_col: str, k: int, seed: str) -> DataFrame:

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strataforge.functions.hashing import bernoulli, payload
+from strataforge.operators.joins import numbered
 from strataforge.operators.quota import expanded, hash_ranked, largest_remainder, water_filled
 
 
-def repaired_to_quota(df: DataFrame, source: DataFrame, strata: list[str], category: str, weight: str, order: list[str]) -> DataFrame:
+def repaired_to_quota(df: DataFrame, source: DataFrame, strata: list[str], category: str, weight: str, order: list[str], spread: bool = False) -> DataFrame:
     """``df`` with ``category`` changed in as few rows as meet the source's quotas inside each stratum.
 
     Quotas are the largest remainder of the stratum's rows by source weight. Rows keep their category
     up to its quota, in order; surplus rows take what is short, both in order. Adds
-    ``repaired``; strata that the source lacks stay as they are.
+    ``repaired``; strata that the source lacks stay as they are. ``spread`` numbers rows over range
+    partitions, for strata or categories too large for a task.
     """
     rows_in = df.groupBy(*strata).agg(F.count(F.lit(1)).alias("__slots"))
     weights = source.groupBy(*strata, category).agg(F.sum(weight).alias("__w")).filter("__w > 0")
@@ -28,9 +30,9 @@ def repaired_to_quota(df: DataFrame, source: DataFrame, strata: list[str], categ
     short = quota.join(have, [*strata, category], "left").withColumn("__need", F.greatest(F.col("quota") - F.coalesce("__have", F.lit(0)), F.lit(0)))
     slots = expanded(short, "__need", "__copy").select(*strata, F.col(category).alias("__new"), (F.row_number().over(Window.partitionBy(*strata).orderBy(category, "__copy"))).alias("__turn"))
     ranked = df.join(quota, [*strata, category], "left").join(served, strata, "left")
-    ranked = ranked.withColumn("__i", F.row_number().over(Window.partitionBy(*strata, category).orderBy(*order)))
-    over = F.coalesce(F.col("__served"), F.lit(False)) & (F.col("__i") > F.coalesce("quota", F.lit(0)))
-    ranked = ranked.withColumn("__over", over).withColumn("__turn", F.when(F.col("__over"), F.row_number().over(Window.partitionBy(*strata, "__over").orderBy(*order))))
+    ranked = numbered(ranked, order, [*strata, category], "__i", spread)
+    over = F.coalesce(F.col("__served"), F.lit(False)) & (F.col("__i") >= F.coalesce("quota", F.lit(0)))
+    ranked = numbered(ranked.withColumn("__over", over), order, [*strata, "__over"], "__n", spread).withColumn("__turn", F.when(F.col("__over"), F.col("__n") + 1))
     out = ranked.join(slots, [*strata, "__turn"], "left")
     return out.withColumn(category, F.coalesce("__new", category)).withColumn("repaired", F.col("__new").isNotNull()).select(*df.columns, "repaired")
 

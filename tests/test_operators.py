@@ -227,6 +227,8 @@ def test_global_row_numbers(spark):
     df = spark.createDataFrame([(i, r.randrange(9)) for i in range(500)], "id int, k int").repartition(5)
     got = {r.id: r.row_idx for r in joins.ranged_index(df, ["k", "id"]).collect()}
     assert got == {i: n for n, (k, i) in enumerate(sorted((r.k, r.id) for r in df.collect()))}
+    odd = df.withColumn("k", F.when(F.col("k") > 5, F.col("k")))
+    assert rows(joins.numbered(odd, ["id"], ["k"], spread=True), "id", "row_idx") == rows(joins.numbered(odd, ["id"], ["k"]), "id", "row_idx")
 
 
 def test_diff_and_ledger(spark):
@@ -254,6 +256,7 @@ def test_minimal_repair(spark):
     assert Counter(r.c for r in got if r.s == "s") == {"a": 5, "b": 3, "d": 2} and sum(r.repaired for r in got) == 3
     assert [(r.id, r.c) for r in sorted(got) if r.repaired] == [(5, "b"), (6, "d"), (7, "d")]
     assert [r.c for r in got if r.s == "other"] == ["z"]
+    assert sorted(map(tuple, repair.repaired_to_quota(df, source, ["s"], "c", "w", ["id"], spread=True).collect())) == sorted(map(tuple, got))
 
 
 def test_stages_roll_back(spark):
