@@ -212,9 +212,9 @@ def similarity_classes(docs: DataFrame, percent: int = 75, n: int = 5, id_col: s
     # one row for each distinct set; a large group of copies is aggregated before it is shuffled
     nodes = full.groupBy("node").agg(F.min("id").alias("low"))
     cols = ["n_shingles", "tokens", *(f"prefix{k}" for k in range(ORDERS)), "places"]
+    # equal sets have equal tokens and prefixes: any row of a node will do
     alive = full.filter("tokens is not null")
-    first = alive.groupBy("node").agg(F.min("id").alias("id"))
-    sets = stored(alive.join(first, ["node", "id"]).dropDuplicates(["node"]).select("node", *cols), "sets")
+    sets = stored(alive.groupBy("node").agg(*(F.first(c).alias(c) for c in cols)), "sets")
     roots = _links(sets, percent)
     # smallest id of each component, then of each node, then of each document
     held = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -54,11 +56,30 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(base or "file://" + tempfile.mkdtemp(prefix="strataforge-"))
 
 
+#: Spark's switch to delete a query's shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files behind."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Writes ``df`` as Parquet to a shared folder and reads it again: cuts lineage, survives executors."""
+    """Writes ``df`` as Parquet to a shared folder and reads it again: cuts lineage, survives executors.
+
+    The shuffle files behind it are of no use afterwards and are deleted at once.
+    """
     spark = df.sparkSession
     path = work_folder(spark, label)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

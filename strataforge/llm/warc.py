@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataforge.llm.shared import shuffles_dropped
+
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the UUID namespace for URLs
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the WARC 1.1 standard
 BINS = 4096
@@ -187,7 +189,8 @@ def write_warc(pages: DataFrame, folder: str, key_col: str = "page_id", url_col:
 
     fs, root = pafs.FileSystem.from_uri(folder)
     fs.create_dir(root, recursive=True)
-    files = sorted((r.asDict() for r in dealt.mapInArrow(write, MANIFEST).collect()), key=lambda r: r["file"])
+    with shuffles_dropped(pages.sparkSession):
+        files = sorted((r.asDict() for r in dealt.mapInArrow(write, MANIFEST).collect()), key=lambda r: r["file"])
     temp = f"{root}/.MANIFEST.json.{uuid.uuid4().hex}.tmp"
     with fs.open_output_stream(temp) as out:
         out.write(json.dumps({"format": "WARC/1.1", "files": files}, indent=1).encode())
