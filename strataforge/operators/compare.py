@@ -6,9 +6,9 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strataforge.operators.joins import full_counts, not_in
+from strataforge.operators.weights import with_total
 
 
 def _counts(df: DataFrame, keys: list[str], weight: str | None) -> DataFrame:
@@ -22,8 +22,7 @@ def cells(actual: DataFrame, target: DataFrame, keys: list[str], actual_weight:
     max(absolute, errors * sqrt(p (1 - p) / N)). Null keys of the two sides stay apart.
     """
     both = full_counts(_counts(actual, keys, actual_weight), _counts(target, keys, target_weight), keys, ("n", "m"))
-    w = Window.partitionBy(F.lit(0))  # over cells
-    both = both.withColumn("total", F.sum("n").over(w)).withColumn("target_total", F.sum("m").over(w))
+    both = with_total(both, {"total": "n", "target_total": "m"})
     both = both.withColumn("q", F.coalesce(F.try_divide(F.col("n"), F.col("total")), F.lit(0.0))).withColumn("p", F.coalesce(F.try_divide(F.col("m"), F.col("target_total")), F.lit(0.0)))
     both = both.withColumn("gap", F.abs(F.col("q") - F.col("p"))).withColumn("tolerance", F.greatest(F.lit(absolute), errors * F.sqrt(F.coalesce(F.try_divide(F.col("p") * (1 - F.col("p")), F.col("total")), F.lit(0.0)))))
     both = both.withColumn("expected", F.col("p") * F.col("total"))

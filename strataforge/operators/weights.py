@@ -9,6 +9,14 @@ from pyspark.sql.window import Window
 from strataforge.functions.buckets import eligible
 
 
+def with_total(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds sums over the whole table, {new name: column}: one aggregate row, broadcast, so no task sees all categories.
+
+    Both sides read the same shuffle where the table is an aggregate.
+    """
+    return df.crossJoin(F.broadcast(df.agg(*(F.sum(c).alias(n) for n, c in columns.items()))))
+
+
 def cube(df: DataFrame, keys: list[str], count: str = "count", suppressed: str = "suppressed") -> DataFrame:
     """Sum of counts and whether any cell was suppressed, by key. Null keys are a group."""
     return df.groupBy(*keys).agg(F.sum(count).alias(count), F.bool_or(suppressed).alias(suppressed))
@@ -69,8 +77,8 @@ def normalised(df: DataFrame, keys: list[str], by: list[str] | None = None, weig
         df = df.filter(F.col(k).isNotNull())
     agg = F.count(F.lit(1)) if weight is None else F.sum(weight)
     out = df.groupBy(*(by or []), *keys).agg(agg.alias("n"))
-    total = F.sum("n").over(Window.partitionBy(*(by or [F.lit(0)])))
-    return out.withColumn("share", F.when(total != 0, F.col("n") / total))
+    out = out.withColumn("__total", F.sum("n").over(Window.partitionBy(*by))) if by else with_total(out, {"__total": "n"})
+    return out.withColumn("share", F.when(F.col("__total") != 0, F.col("n") / F.col("__total"))).drop("__total")
 
 
 def conditioned_mixture(joint: DataFrame, stratum: str, category: str, strata: DataFrame, weight: str = "n") -> DataFrame:
@@ -86,8 +94,8 @@ def resolution_filtered(target: DataFrame, actual: DataFrame, key: str, n: int |
     """(key, target, actual): labels whose target share is below 1/n go, then both series are renormalised."""
     kept = target.filter(F.col("share") * n >= 1).select(key, F.col("share").alias("target"))
     both = kept.join(actual.select(key, F.col("share").alias("actual")), key, "left").withColumn("actual", F.coalesce("actual", F.lit(0.0)))
-    w = Window.partitionBy(F.lit(0))  # over categories
-    return both.withColumn("target", F.col("target") / F.sum("target").over(w)).withColumn("actual", F.coalesce(F.try_divide(F.col("actual"), F.nullif(F.sum("actual").over(w), F.lit(0.0))), F.lit(0.0)))
+    both = with_total(both, {"__target": "target", "__actual": "actual"})
+    return both.withColumn("target", F.col("target") / F.col("__target")).withColumn("actual", F.coalesce(F.try_divide(F.col("actual"), F.nullif("__actual", F.lit(0.0))), F.lit(0.0))).drop("__target", "__actual")
 
 
 def top_and_other(df: DataFrame, key: str, k: int, other: str = "Other") -> DataFrame:

@@ -30,7 +30,7 @@ def standard_sample(t):
 @query()
 def standard_report(t):
     bundle = _bundle(t)
-    return standard.validate(standard.sample(bundle, 2000, 20260914), bundle, tv_limit=0.05, correlation_limit=0.1)
+    return standard.validate(standard.sample(bundle, 2000, 20260914).persist(), bundle, tv_limit=0.05, correlation_limit=0.1)
 
 
 @query()
