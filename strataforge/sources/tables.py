@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
 from dataclasses import asdict, fields, is_dataclass
 from pathlib import Path
 from typing import Any, TypeVar
@@ -33,6 +35,12 @@ def write_ordered(df: DataFrame, path: str, single_file: bool = False, replace:
     dealt.sortWithinPartitions(*order).write.mode("overwrite" if replace else "errorifexists").option("compression", "zstd").parquet(path)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share; one of its own only where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='strataforge-')}"
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def widened_union(parts: list[DataFrame]) -> DataFrame:
     """Union by name with numeric types widened; columns that a part lacks are null there, and untyped nulls become text."""
     rank = ["tinyint", "smallint", "int", "bigint", "float", "double"]
