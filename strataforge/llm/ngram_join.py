@@ -33,8 +33,8 @@ from strataforge.llm.shared import Words, arrow_bytes, distinct, doc_runs, mix64
 
 ORDERS = 3
 STAR_ROUNDS = 5
-#: Up to so many nodes, the nodes of a round's candidates are broadcast (16 bytes each) to fetch their sets.
-BROADCAST_NODES = 200_000
+#: Up to so many candidate pairs (32 bytes each) a round broadcasts them to the sets; beyond, both are shuffled.
+BROADCAST_PAIRS = 200_000
 FILTER_BITS = 32  # of a shingle's hash, for counting blocks; a collision only moves a token in the orders
 _SEEDS = [np.uint64(0xA0761D6478BD642F + 0x1D8E4E27C47D124F * k & (1 << 64) - 1) for k in range(ORDERS)]
 
@@ -71,7 +71,7 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
 
 def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str) -> DataFrame:
     """One row a document: id, n_shingles, node (16 bytes, equal for equal sets), and for sets that
-    may link: tokens and, for each order, the repeated tokens of its prefix, in order, with their positions."""
+    may link: the tokens that occur elsewhere and, for each order, those of its prefix, in order, with their positions."""
     blocks, _, total = in_blocks(docs, id_col, text_col)
     shift = np.uint64(64 - FILTER_BITS)
     bits = max(2, int(total // 6 // 4_000_000).bit_length())
@@ -122,7 +122,7 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
                 if u >= p:
                     continue
                 order_rank, signed = rank[x:y], own_values.view(np.int64)
-                lists[0][a + r] = signed
+                lists[0][a + r] = signed[order_rank > 0]  # no other set holds the rest
                 for k in range(ORDERS):
                     first = np.lexsort((mix64(own_values ^ _SEEDS[k]), order_rank))[u:p]
                     lists[1 + k][a + r] = signed[first]
@@ -137,11 +137,12 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the stored candidate pairs (a, b): those that share prefix tokens under the other orders too, and link."""
     rest = [f"prefix{k}" for k in range(1, ORDERS)]
-    nodes = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
-    if nodes.count() <= BROADCAST_NODES:  # few: only their sets are shuffled
-        sets = sets.join(F.broadcast(nodes), "node")
     side = lambda c: sets.select(F.col("node").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in (*rest, "tokens", "n_shingles")))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    if pairs.count() <= BROADCAST_PAIRS:  # only the sets of candidates are shuffled, and once
+        right = side("b").join(F.broadcast(pairs.select("b").distinct()), "b")
+        both = side("a").join(F.broadcast(pairs), "a").join(right, "b")
+    else:
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
     meets = F.lit(True)
     for x in rest:
         meets = meets & F.arrays_overlap(f"a_{x}", f"b_{x}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -233,23 +234,29 @@ def distinct(values: np.ndarray) -> np.ndarray:
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
-    """Sorted distinct unsigned 64-bit values as differences of as few bytes as the largest needs."""
+    """Sorted distinct unsigned 64-bit values as differences of as few bytes as the largest needs.
+
+    The differences' highest bytes, which are mostly small, are deflated; the others are as good as random.
+    """
     if not len(values):
         return b""
-    gaps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
-    width = max(1, (int(gaps[1:].max()).bit_length() + 7) // 8) if len(values) > 1 else 1
-    planes = gaps[1:].view(np.uint8).reshape(-1, 8)[:, :width]
-    return bytes([width]) + gaps[:1].tobytes() + np.ascontiguousarray(planes).tobytes()
+    gaps = np.diff(values).astype("<u8")
+    width = max(1, (int(gaps.max()).bit_length() + 7) // 8) if len(gaps) else 1
+    planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    top = zlib.compress(planes[-1].tobytes(), 1)
+    return bytes([width]) + values[:1].astype("<u8").tobytes() + len(top).to_bytes(4, "little") + top + planes[:-1].tobytes()
 
 
 def unpack_sorted(blob: bytes) -> np.ndarray:
     if not blob:
         return np.zeros(0, np.uint64)
-    width = blob[0]
-    rest = np.frombuffer(blob, dtype=np.uint8, offset=9).reshape(-1, width)
-    gaps = np.zeros((len(rest) + 1, 8), np.uint8)
+    width, size = blob[0], int.from_bytes(blob[9:13], "little")
+    top = np.frombuffer(zlib.decompress(blob[13 : 13 + size]), np.uint8)
+    gaps = np.zeros((len(top) + 1, 8), np.uint8)
     gaps[0] = np.frombuffer(blob, dtype=np.uint8, offset=1, count=8)
-    gaps[1:, :width] = rest
+    gaps[1:, width - 1] = top
+    if width > 1:
+        gaps[1:, : width - 1] = np.frombuffer(blob, dtype=np.uint8, offset=13 + size).reshape(width - 1, -1).T
     return np.cumsum(gaps.reshape(-1).view("<u8"), dtype=np.uint64)
 
 

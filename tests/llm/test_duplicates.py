@@ -132,7 +132,7 @@ def test_links_survive_without_star_rounds_and_broadcasts(spark, monkeypatch):
     texts = corpus(9, 60)
     want = dict(enumerate(classes_by_hand(texts)))
     monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
-    monkeypatch.setattr(ngram_join, "BROADCAST_NODES", 0)
+    monkeypatch.setattr(ngram_join, "BROADCAST_PAIRS", 0)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(table(spark, texts)).collect()}
     assert got == want
 
