@@ -33,7 +33,7 @@ from strataforge.llm.shared import Words, arrow_bytes, distinct, doc_runs, mix64
 
 ORDERS = 3
 STAR_ROUNDS = 5
-#: Up to so many candidate pairs (32 bytes each) a round broadcasts them to the sets; beyond, both are shuffled.
+#: Up to so many candidate pairs, or nodes with their roots (32 bytes each), a round broadcasts them; beyond, both sides are shuffled.
 BROADCAST_PAIRS = 200_000
 FILTER_BITS = 32  # of a shingle's hash, for counting blocks; a collision only moves a token in the orders
 _SEEDS = [np.uint64(0xA0761D6478BD642F + 0x1D8E4E27C47D124F * k & (1 << 64) - 1) for k in range(ORDERS)]
@@ -180,7 +180,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
         if roots is None:
             labelled = postings.withColumn("comp", F.col("node"))
         else:
-            labelled = postings.join(roots, "node", "left").select("node", "n", "token", "place", F.coalesce("root", "node").alias("comp"))
+            few = roots.count() <= BROADCAST_PAIRS
+            labelled = postings.join(F.broadcast(roots) if few else roots, "node", "left").select("node", "n", "token", "place", F.coalesce("root", "node").alias("comp"))
         hub = F.min(F.struct(late, F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp")))
         hubs = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), hub.alias("c")).filter("low <> high").select("token", "c.*")
         if turn:
