@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strataforge.llm.shared import pack_sorted, text_bytes, unpack_sorted
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_VALUES = 2_000_000
 REPORT = "bucket int, block int, found binary"
 RETURN = "block int, found binary, blocks binary"
