@@ -129,10 +129,13 @@ def json_safe(columns: dict[str, str]) -> Column:
 
 
 def deduped(items: Column) -> Column:
-    """Items that are not blank, stripped; of those equal but for case the first."""
+    """Items that are not blank, stripped; of those equal but for case the first. Sorts twice, so long lists stay cheap."""
     clean = F.filter(F.transform(items, stripped), lambda x: ~blank(x))
-    folded = F.transform(clean, F.lower)
-    return F.filter(clean, lambda x, i: F.array_position(folded, F.lower(x)) == i + 1)
+    ranked = F.sort_array(F.transform(clean, lambda x, i: F.struct(F.lower(x).alias("f"), i.alias("i"), x.alias("x"))))
+    # as the one item of an outer array the sorted list is computed once, not once for each of its items
+    first = F.transform(F.array(ranked), lambda r: F.filter(r, lambda e, k: (k == 0) | (F.get(r, k - 1)["f"] != e["f"])))
+    kept = F.sort_array(F.transform(F.get(first, 0), lambda e: F.struct(e["i"].alias("i"), e["x"].alias("x"))))
+    return F.transform(kept, lambda e: e["x"])
 
 
 def normalised_set(items: Column) -> Column:

@@ -130,7 +130,7 @@ _ITEMS = "string_split(regexp_replace(substr(text, 1, 60), '\\s+', ' ', 'g'), '
 
 
 def _items():
-    return F.split(F.regexp_replace(F.substring("text", 1, 60), r"\s+", " "), " ")
+    return F.split(F.regexp_replace("text", r"\s+", " "), " ")
 
 
 @query(f"""
