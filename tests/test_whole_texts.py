@@ -1,6 +1,7 @@
 """Text queries against brute force over every row and the whole of each text."""
 
 import re
+import unicodedata
 
 from strataforge.plans import catalogue
 
@@ -32,3 +33,11 @@ def test_arrays_hold_all_tokens_of_a_turn(spark, sf):
         found.append((conv, turn, ",".join(k for k, v in wrong.items() if v)))
     assert got(spark, sf, "array_dedupe_fold") == sorted(deduped)
     assert got(spark, sf, "array_checks") == sorted(found)
+
+
+def test_sets_hold_all_words_of_all_documents(spark, sf):
+    def words(text):
+        marks = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text)
+        return " ".join(sorted({w.lower() for w in marks.split()}))
+
+    assert got(spark, sf, "normalised_sets") == sorted((doc, words(text)) for doc, text in documents(spark, sf))
