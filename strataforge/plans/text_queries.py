@@ -177,7 +177,7 @@ def json_props(t):
 @query("SELECT conv_id, turn, replace(replace(replace(substr(text, 1, 30), '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS safe, regexp_replace(substr(text, 1, 50), '(.{20})', '\\1<br>', 'g') AS wrapped FROM (SELECT conv_id, turn, regexp_replace(text, '[\\s\"'']', '_', 'g') || repeat('x', 45) AS text FROM conversations)")
 def wrap_and_escape(t):
     x = F.concat(F.regexp_replace("text", r"[\s\"']", "_"), F.repeat(F.lit("x"), 45))
-    return t.conversations.select("conv_id", "turn", text.html_escaped(F.substring(x, 1, 30)).alias("safe"), text.wrapped(F.substring(x, 1, 50), 20).alias("wrapped"))
+    return t.conversations.select("conv_id", "turn", text.html_escaped(x).alias("safe"), text.wrapped(x, 20).alias("wrapped"))
 
 
 @query("SELECT doc_id, replace('id ' || doc_id || ' of ' || source, doc_id::VARCHAR, '[id]') AS shown FROM documents")

@@ -1,5 +1,6 @@
 """Text queries against brute force over every row and the whole of each text."""
 
+import html
 import re
 import unicodedata
 
@@ -41,3 +42,11 @@ def test_sets_hold_all_words_of_all_documents(spark, sf):
         return " ".join(sorted({w.lower() for w in marks.split()}))
 
     assert got(spark, sf, "normalised_sets") == sorted((doc, words(text)) for doc, text in documents(spark, sf))
+
+
+def test_turns_are_escaped_and_wrapped_to_their_end(spark, sf):
+    want = []
+    for conv, turn, text in turns(spark, sf):
+        x = re.sub("[ \t\n\r\f\v\"']", "_", text) + "x" * 45
+        want.append((conv, turn, html.escape(x), "<br>".join(x[i : i + 20] for i in range(0, len(x), 20))))
+    assert got(spark, sf, "wrap_and_escape") == sorted(want)
