@@ -6,8 +6,10 @@ All remainders are integers and ties go to the smaller key.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strataforge.functions.hashing import below, payload, u64_hex
@@ -134,16 +136,34 @@ def audited_marginal(table: DataFrame, key: str, count: str, total: int | None,
     return n.filter(F.when(bad.isNull(), F.lit(True)).otherwise(F.raise_error(bad).cast("boolean"))).filter(flag).select(key, count)
 
 
-def water_filled(rooms: DataFrame, key: str, weight: str, room: str, slots: int, rounds: int) -> DataFrame:
+def water_filled(rooms: DataFrame, key: str, weight: str, room: str, slots: int, rounds: int = 0) -> DataFrame:
     """Adds ``quota``: largest remainder capped at ``room``; what is cut off is dealt anew among those with room left.
 
-    ``rounds`` bounds the repetition; it ends in at most one round for each category. Every round
-    is a window over categories, so the plan stays one small table.
+    Dealing goes on until no slot is left or every room is full, in at most one round more than there are categories;
+    slots that only categories without weight have room for are an error. Null counts as 0. All categories
+    are dealt to in one task. ``rounds`` is kept for its callers and bounds nothing.
     """
-    out = rooms.withColumn("quota", F.lit(0).cast("long"))
-    w = Window.partitionBy(F.lit(0))
-    for _ in range(rounds):
-        left = F.greatest(F.lit(slots) - F.sum("quota").over(w), F.lit(0)).cast("long")
-        step = out.withColumn("__left", left).withColumn("__w", F.when(F.col("quota") < F.col(room), F.col(weight)).otherwise(F.lit(0)).cast("long")).withColumnRenamed("quota", "__had")
-        out = largest_remainder(step, [key], "__w", F.col("__left")).withColumn("quota", F.least(F.col(room).cast("long"), F.col("__had") + F.col("quota"))).drop("__left", "__w", "__had")
-    return out
+    names = rooms.columns
+    schema = T.StructType([*rooms.schema.fields, T.StructField("quota", T.LongType())])
+
+    def run(table: pa.Table) -> pa.Table:
+        weights, room_of = ([int(v or 0) for v in table.column(c).to_pylist()] for c in (weight, room))
+        order = sorted(range(table.num_rows), key=lambda i, k=table.column(key).to_pylist(): (k[i] is not None, k[i]))
+        got, left = [0] * table.num_rows, slots
+        active = [i for i in order if room_of[i] > 0 and weights[i] > 0]
+        while left > 0 and active:
+            total = sum(weights[i] for i in active)
+            step = {i: left * weights[i] // total for i in active}
+            by_rest = sorted(active, key=lambda i: -(left * weights[i] % total))  # noqa: B023
+            for i in by_rest[: left - sum(step.values())]:
+                step[i] += 1
+            for i, n in step.items():
+                n = min(n, room_of[i] - got[i])
+                got[i] += n
+                left -= n
+            active = [i for i in active if got[i] < room_of[i]]
+        if left > 0 and any(n < r for n, r in zip(got, room_of, strict=True)):
+            raise ValueError(f"{left} slots remain, and only categories without weight have room")
+        return table.select(names).append_column("quota", pa.array(got, pa.int64()))
+
+    return rooms.groupBy().applyInArrow(run, schema)

@@ -72,7 +72,8 @@ def allocated_missing(df: DataFrame, strata: list[str], stratum_name: str, eligi
 
     What is missing towards the target is apportioned over strata by source weight, capped by the
     eligible rows of each, and the rows are chosen by hash. ``stratum_name`` names the one column
-    that identifies a stratum (several are joined by ``|``). Adds ``allocated``.
+    that identifies a stratum (several are joined by ``|``). Adds ``allocated``. Fewer eligible rows in
+    strata with weight than are missing is an error. ``rounds`` is kept for its callers and bounds nothing.
     """
     key = F.concat_ws("|", *(F.col(c).cast("string") for c in strata))
     df = df.withColumn(stratum_name, key)
@@ -80,6 +81,9 @@ def allocated_missing(df: DataFrame, strata: list[str], stratum_name: str, eligi
     slots = max(0, int(share * n + 0.5) - int(have))
     room = df.filter(eligible & ~F.coalesce(F.col(column) == value, F.lit(False))).groupBy(stratum_name).agg(F.count(F.lit(1)).alias("room"))
     rooms = room.join(weights.withColumn(stratum_name, key).groupBy(stratum_name).agg(F.sum(weight).alias("w")), stratum_name)
+    able = rooms.filter("w > 0").agg(F.coalesce(F.sum("room"), F.lit(0))).first()[0]
+    if able < slots:
+        raise ValueError(f"{slots} rows are to be allocated, but strata with weight have {able} eligible ones")
     quotas = water_filled(rooms, stratum_name, "w", "room", slots, rounds).select(stratum_name, "quota")
     chosen = hash_ranked(df.filter(eligible & ~F.coalesce(F.col(column) == value, F.lit(False))), [stratum_name], id_col, quotas, seed).select(id_col).withColumn("__take", F.lit(True))
     out = df.join(chosen, id_col, "left").withColumn("allocated", F.coalesce("__take", F.lit(False)))
