@@ -102,7 +102,7 @@ def age_mentions(t):
 
 @query("SELECT doc_id, regexp_matches(lower(text), '(^|[^a-z0-9_])(and|with)([^a-z0-9_]|$)') AS mentions FROM documents WHERE lang = 'en'")
 def restricted_terms(t):
-    return t.documents.filter("lang = 'en'").select("doc_id", text.mentions_any(F.col("text"), ["and", "with"]).alias("mentions"))
+    return t.documents.select("doc_id", text.mentions_any(F.col("text"), ["and", "with"]).alias("mentions"))
 
 
 @query("""
@@ -118,7 +118,7 @@ SELECT doc_id, CASE WHEN c = 1 THEN replace(text, ' and the ', ' & the ') ELSE t
 FROM (SELECT doc_id, text, (length(text) - length(replace(text, ' and the ', ''))) // 9 AS c FROM documents WHERE n_chars < 2000)""")
 def clause_repair(t):
     new, reason = text.replaced_once(F.col("text"), " and the ", " & the ")
-    return t.documents.filter("n_chars < 2000").select("doc_id", new.alias("text"), reason.alias("reason"))
+    return t.documents.select("doc_id", new.alias("text"), reason.alias("reason"))
 
 
 @query("SELECT doc_id, (length(text) - length(replace(text, lang, ''))) // length(lang) AS n FROM documents")
@@ -201,7 +201,7 @@ def content_hash(t):
 @query()
 def bounded_patches(t):
     patches = F.array(F.struct(F.substring("text", 40, 12).alias("old"), F.lit("EDIT").alias("new")))
-    rows = t.documents.filter("n_chars between 300 and 900").select("doc_id", "text", patches.alias("patches"))
+    rows = t.documents.select("doc_id", "text", patches.alias("patches"))
     return text.apply_patches(rows, "text", "patches").select("doc_id", "patched", "reason")
 
 

@@ -4,6 +4,7 @@ import html
 import re
 import unicodedata
 
+from strataforge.functions import text as rules
 from strataforge.plans import catalogue
 
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
@@ -50,3 +51,16 @@ def test_turns_are_escaped_and_wrapped_to_their_end(spark, sf):
         x = re.sub("[ \t\n\r\f\v\"']", "_", text) + "x" * 45
         want.append((conv, turn, html.escape(x), "<br>".join(x[i : i + 20] for i in range(0, len(x), 20))))
     assert got(spark, sf, "wrap_and_escape") == sorted(want)
+
+
+def test_every_document_is_patched_repaired_and_searched(spark, sf):
+    docs = documents(spark, sf)
+    patched = [(doc, *rules.patch_text(text, [(text[39:51], "EDIT")])) for doc, text in docs]
+    assert any(reason == "length out of range" for _, _, reason in patched)
+    assert sorted(got(spark, sf, "bounded_patches"), key=repr) == sorted(patched, key=repr)
+    old, new = " and the ", " & the "
+    reasons = {0: "clause absent", 1: None}
+    repaired = [(doc, text.replace(old, new) if text.count(old) == 1 else text, reasons.get(text.count(old), "clause repeated")) for doc, text in docs]
+    assert got(spark, sf, "clause_repair") == sorted(repaired)
+    term = re.compile(r"(?i)(?<!\w)(?:and|with)(?!\w)")
+    assert got(spark, sf, "restricted_terms") == sorted((doc, bool(term.search(text))) for doc, text in docs)
