@@ -4,9 +4,10 @@ Pre-tokenisation never runs a regular expression. Every code point becomes one o
 classes, every class is a transition function of a small automaton, and the functions are
 composed by an associative scan over whole blocks of text: numpy reduces fixed-width columns,
 scans the column totals, and applies the prefixes. Boundaries are read from (state, class).
-The slices between boundaries are identified by a 64-bit polynomial hash of their bytes, so
-only slices not met before are merged; the merging itself works on all new slices at once, one
-lowest-ranked pair of each slice per step.
+The slices between boundaries are looked up by a keyed 64-bit hash of their bytes and then
+compared byte by byte with the slice that the cache holds, so only slices not met before are
+merged; the merging itself works on all new slices at once, one lowest-ranked pair of each
+slice per step.
 
 Defined results: null and empty text give no ids; unknown or unassigned code points are
 ordinary "other" characters; a special token's string in a text is ordinary text; rows may
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataforge.llm.shared import _BYTE_TABLE, WORD_BASE, arrow_bytes, doc_runs, mix64
+from strataforge.llm.shared import GOLDEN, arrow_bytes, byte_hashes, doc_runs, fresh_seeds
 
 # Classes of code points.
 OTHER, LETTER, DIGIT, SPACE, BLANK, QUOTE, ONE, R, V, L, E, EDGE = range(12)
@@ -235,7 +236,7 @@ class Vocabulary:
         self.shift = np.uint64(64 - bits)
         self.slots = np.full(1 << bits, -1, np.int64)
         todo = np.arange(len(self.keys))
-        where = ((self.keys.astype(np.uint64) * np.uint64(WORD_BASE)) >> self.shift).astype(np.int64)
+        where = ((self.keys.astype(np.uint64) * np.uint64(GOLDEN)) >> self.shift).astype(np.int64)
         self.probes = 0
         while len(todo):
             self.probes += 1
@@ -247,7 +248,7 @@ class Vocabulary:
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Index of each pair in the merge table, or -1."""
         key = (left << 32) | right
-        at = ((key.astype(np.uint64) * np.uint64(WORD_BASE)) >> self.shift).astype(np.int64)
+        at = ((key.astype(np.uint64) * np.uint64(GOLDEN)) >> self.shift).astype(np.int64)
         found = self.slots[at]
         hit = (found >= 0) & (self.keys[found] == key)
         out = np.where(hit, found, -1)
@@ -363,13 +364,45 @@ class Encoder:
     """Encodes blocks of documents, keeping ids of slices met before. One per Python worker and vocabulary."""
 
     def __init__(self, path: str, most: int = 200_000) -> None:
-        self.vocab, self.most = Vocabulary(path), most
+        self.vocab, self.most, self.seed = Vocabulary(path), most, fresh_seeds(1)[0]
         self._clear()
 
     def _clear(self) -> None:
         self.slot_of: dict[int, int] = {}
-        self.flat, self.begin, self.size = np.zeros(1 << 16, np.uint16 if len(self.vocab.tokens) <= 1 << 16 else np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.used = 0
+        self.slots = self.used = self.filled = 0
+        self.flat = np.zeros(1 << 16, np.uint16 if len(self.vocab.tokens) <= 1 << 16 else np.int32)
+        self.held = np.zeros(1 << 16, np.uint8)
+        # of each slot: its ids in ``flat`` and its bytes in ``held``
+        self.begin, self.size, self.byte_begin, self.byte_size = (np.zeros(1 << 14, np.int64) for _ in range(4))
+
+    def _add(self, slices: list[bytes]) -> int:
+        """Merges the slices and keeps them in new slots; returns the first."""
+        ids, counts = self.vocab.merge(slices)
+        first, n = self.slots, len(slices)
+        self.slots += n
+        self.begin, self.size, self.byte_begin, self.byte_size = (_room(x, self.slots) for x in (self.begin, self.size, self.byte_begin, self.byte_size))
+        data, lengths = np.frombuffer(b"".join(slices), np.uint8), np.array([len(x) for x in slices], np.int64)
+        self.flat, self.held = _room(self.flat, self.used + len(ids)), _room(self.held, self.filled + len(data))
+        self.flat[self.used : self.used + len(ids)], self.held[self.filled : self.filled + len(data)] = ids, data
+        at = slice(first, self.slots)
+        self.begin[at], self.size[at] = self.used + np.cumsum(counts) - counts, counts
+        self.byte_begin[at], self.byte_size[at] = self.filled + np.cumsum(lengths) - lengths, lengths
+        self.used, self.filled = self.used + len(ids), self.filled + len(data)
+        return first
+
+    def _differing(self, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, each: np.ndarray) -> np.ndarray:
+        """Slices whose bytes are not those of their slot. Slices cover all bytes, one after another."""
+        own = self.byte_size[each]
+        if not (own == sizes).all():
+            wrong = own != sizes
+            right = np.flatnonzero(~wrong)
+            off = np.concatenate(([0], np.cumsum(sizes[right])))
+            bad = self.held[spread(self.byte_begin[each[right]], sizes[right], off)] != raw[spread(starts[right], sizes[right], off)]
+            wrong[right[np.searchsorted(off, np.flatnonzero(bad), side="right") - 1]] = True
+            return np.flatnonzero(wrong)
+        off = np.concatenate(([0], np.cumsum(sizes)))
+        bad = np.flatnonzero(self.held[spread(self.byte_begin[each], sizes, off)] != raw[starts[0] :])
+        return np.unique(np.searchsorted(off, bad, side="right") - 1) if len(bad) else bad
 
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids over all documents, their count in each document, and the byte at which each slice starts."""
@@ -377,28 +410,24 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, self.flat.dtype), np.zeros(len(off) - 1, np.int64), starts
         stops = np.append(starts[1:], len(raw))
-        up, down = _BYTE_TABLE.upto(len(raw) + 1)
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=total[1:])
-        key = mix64((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(np.uint64) * np.uint64(WORD_BASE))
+        key = byte_hashes(raw, starts, stops, self.seed)
         uniq, at, inverse = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.slot_of) + len(uniq) > self.most:
+        if self.slots + len(uniq) > self.most or self.filled > 64 << 20:
             self._clear()
         names = uniq.tolist()
         slot = np.fromiter(map(self.slot_of.get, names, [-1] * len(names)), np.int64, len(names))
         new = np.flatnonzero(slot < 0)
         if len(new):
-            held, a, b = raw.tobytes(), starts[at[new]].tolist(), stops[at[new]].tolist()
-            ids, counts = self.vocab.merge([held[x:y] for x, y in zip(a, b, strict=True)])
-            first = len(self.slot_of)
+            data, a, b = raw.tobytes(), starts[at[new]].tolist(), stops[at[new]].tolist()
+            first = self._add([data[x:y] for x, y in zip(a, b, strict=True)])
             slot[new] = np.arange(first, first + len(new))
             self.slot_of.update(zip(uniq[new].tolist(), range(first, first + len(new)), strict=True))
-            self.flat, self.begin, self.size = _room(self.flat, self.used + len(ids)), _room(self.begin, first + len(new)), _room(self.size, first + len(new))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.begin[first : first + len(new)] = self.used + np.cumsum(counts) - counts
-            self.size[first : first + len(new)] = counts
-            self.used += len(ids)
         each = slot[inverse]
+        strange = self._differing(raw, starts, stops - starts, each)
+        if len(strange):  # another slice with the same hash: merged on its own and not looked up again
+            data = raw.tobytes()
+            first = self._add([data[x:y] for x, y in zip(starts[strange].tolist(), stops[strange].tolist(), strict=True)])
+            each[strange] = np.arange(first, first + len(strange))
         sizes = self.size[each]
         tok_off = np.concatenate(([0], np.cumsum(sizes)))
         ids = self.flat[spread(self.begin[each], sizes, tok_off)]

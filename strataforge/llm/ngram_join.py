@@ -1,18 +1,26 @@
 """N-gram Jaccard self-join by filtering under several global orders (operator 8).
 
-A document is the set of its distinct five-word shingles. Two sets with Jaccard similarity t or
-more share a token among the first |x| - ceil(t |x|) + 1 tokens of each, under any order of all
-tokens. Here the orders sort by how many blocks hold a token (rare first) and break ties by
-different hashes, so each gives another prefix, and a pair must share a token in every one of
-them, at positions that still allow enough overlap in the first. A token that occurs once links
-nothing: a document whose prefix holds only such tokens leaves the join at once, and only the
-prefixes of the others are shuffled, without text.
-
-Equal sets are one node. Candidates of one token are not expanded into all pairs: rounds of stars
-(each node against one centre of its token's group; the first round's centres agree between tokens,
-the later ones' differ) link most of a group, verified by exact intersection; after each round only pairs of different components remain of interest. What is
-left is then enumerated in full, so no link is lost: the result is exact up to collisions of
-64-bit shingle hashes.
+A document is the set of its distinct five-word shingles, each a 64-bit hash keyed for the run.
+Two different sets with Jaccard similarity t or more share a token among the first
+|x| - ceil(t |x|) + 1 tokens of each, under any order of all tokens. Three orders are used. The
+first sorts by how many blocks of documents hold a token, rare first, and makes candidates: pairs
+that share a prefix token of it at positions that still allow enough overlap. The other two
+shuffle all tokens by independent hashes, whatever their frequency, so that a prefix is a random
+quarter of the set: a candidate stays only if under both of them the tokens common to the two
+prefixes, and all those behind, could still make t. Only then are whole sets fetched and compared.
+
+A token that occurs once links nothing: a document with too few other tokens, or with a prefix
+without any, leaves the join at once, and no text is shuffled after that. Equal sets are one node,
+named by 128 bits of two independent hashes. The nodes' prefixes and sets are written bucketed by
+node once, and only candidates move to them.
+
+Candidates of one token are not expanded into all pairs: in rounds of stars (each node against one
+centre of its token's group, then one node of each component against one centre, then again each
+node against another) most of a group links; after each round only pairs of different components
+remain of interest. What is left is then enumerated in full, so no link is lost. Groups of heavy
+tokens are cut into parts of about a thousand nodes, stars and pairs alike.
+
+The result is exact unless several 64-bit hashes collide within one pair of documents.
 
 Defined results: null or empty text, or text without words, is an empty set, linked with nothing
 and a component of its own; fewer than five words are one shingle; repeated rows are equal sets;
@@ -26,42 +34,46 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from strataforge.llm import skew
 from strataforge.llm.components import components
-from strataforge.llm.repeats import in_blocks, member, repeated, unpacked
-from strataforge.llm.shared import Words, arrow_bytes, distinct, doc_runs, mix64, span_hashes, stored, window_hashes
+from strataforge.llm.repeats import Counter, classes_of, counted, filter_bits, in_blocks, member, repeated_in
+from strataforge.llm.shared import Scratch, Words, arrow_bytes, chain_hashes, distinct, doc_runs, fresh_seeds, mix64, stored, window_starts
 
 ORDERS = 3
-STAR_ROUNDS = 5
-#: Up to so many candidate pairs, or nodes with their roots (32 bytes each), a round broadcasts them; beyond, both sides are shuffled.
-BROADCAST_PAIRS = 200_000
-FILTER_BITS = 32  # of a shingle's hash, for counting blocks; a collision only moves a token in the orders
-_SEEDS = [np.uint64(0xA0761D6478BD642F + 0x1D8E4E27C47D124F * k & (1 << 64) - 1) for k in range(ORDERS)]
+#: What each round of stars pairs with a centre: every node, or one node of each component.
+STARS = ("nodes", "components", "nodes")
+BUCKET_BYTES = 64 << 20  # of text, for each bucket of the sets
+#: Nodes of a heavy token that share a centre, and that are paired in one task.
+STAR, TILE = 256, 1000
+PAIR = ("hub", "node", "hub_comp", "comp")
 
 
-def _every_shingle(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _every_shingle(words: Words, n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each shingle as it stands, and its document; fewer than ``n`` words are one shingle."""
-    hashes = words.hashes()
-    values, starts = window_hashes(hashes, words.first, n)
-    counts = np.diff(words.first)
-    doc = np.repeat(np.arange(len(counts)), np.maximum(counts - n + 1, 0))
-    few = np.flatnonzero((counts > 0) & (counts < n))
-    if len(few):
-        values = np.concatenate((values, span_hashes(hashes, words.first[few], words.first[few + 1])))
-        doc = np.concatenate((doc, few))
-    return values, doc
-
-
-def shingles(raw: np.ndarray, off: np.ndarray, n: int = 5):
-    """Per run of documents: first row, (document in the run, shingle hash) sorted and distinct."""
+    hashes = words.hashes(seed)
+    starts, counts = window_starts(words.first, n), np.diff(words.first)
+    values = [chain_hashes(hashes, starts, n, seed)]
+    docs = [np.repeat(np.arange(len(counts)), np.maximum(counts - n + 1, 0))]
+    for k in range(1, n):
+        few = np.flatnonzero(counts == k)
+        values.append(chain_hashes(hashes, words.first[few], k, seed))
+        docs.append(few)
+    return np.concatenate(values), np.concatenate(docs)
+
+
+def _shingles(raw: np.ndarray, off: np.ndarray, n: int, seeds: list[int]):
+    """Per run of documents: first row, rows, (document in the run, shingle, its second hash), sorted and distinct."""
     for a, b in doc_runs(off):
         words = Words(raw[off[a] : off[b]], off[a : b + 1] - off[a], lower=True)
-        values, doc = _every_shingle(words, n)
+        values, doc = _every_shingle(words, n, seeds[0])
+        other, _ = _every_shingle(words, n, seeds[1])
         order = np.lexsort((values, doc))
-        values, doc = values[order], doc[order]
+        values, doc, other = values[order], doc[order], other[order]
         fresh = np.ones(len(values), bool)
         fresh[1:] = (values[1:] != values[:-1]) | (doc[1:] != doc[:-1])
-        yield a, b - a, doc[fresh], values[fresh]
+        yield a, b - a, doc[fresh], values[fresh], other[fresh]
 
 
 def _needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -69,20 +81,23 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str) -> DataFrame:
-    """One row a document: id, n_shingles, node (16 bytes, equal for equal sets), and for sets that
-    may link: the tokens that occur elsewhere and, for each order, those of its prefix, in order, with their positions."""
-    blocks, _, total = in_blocks(docs, id_col, text_col)
-    shift = np.uint64(64 - FILTER_BITS)
-    bits = max(2, int(total // 6 // 4_000_000).bit_length())
+def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """One row a document: id, n_shingles, node, and for sets that may link: the tokens that occur elsewhere and,
+    for each order, those of its prefix (for the first in order, with their positions). Of equal sets in one
+    block only one row has them. Also the text's bytes."""
+    blocks, n_blocks, total = in_blocks(docs, id_col, text_col)
+    guess = max(1, total // 6)
+    bits, seeds = filter_bits(guess), fresh_seeds(2 + ORDERS)
+    shift, counter = np.uint64(64 - bits), Counter(n_blocks, guess, bits)
 
-    def values_of(table: pa.Table) -> np.ndarray:
+    def every(table: pa.Table) -> np.ndarray:
+        """Leading bits of all shingles, document by document."""
         raw, off = arrow_bytes(table.column("text"))
-        found = []
+        found = [np.zeros(0, np.uint64)]
         for a, b in doc_runs(off):
-            values, _ = _every_shingle(Words(raw[off[a] : off[b]], off[a : b + 1] - off[a], lower=True), n)
-            found.append(distinct(values >> shift))
-        return distinct(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+            values, doc = _every_shingle(Words(raw[off[a] : off[b]], off[a : b + 1] - off[a], lower=True), n, seeds[0])
+            found.append(distinct(values) >> shift)
+        return np.concatenate(found)
 
     longs = T.ArrayType(T.LongType())
     schema = T.StructType(
@@ -92,63 +107,51 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
     )
 
     def mark(table: pa.Table, returned: pa.Table) -> pa.Table:
-        shared, classes = unpacked(returned)
+        classes = classes_of(returned)
         raw, off = arrow_bytes(table.column("text"))
         size, nodes = np.zeros(table.num_rows, np.int64), [None] * table.num_rows
         lists: list[list] = [[None] * table.num_rows for _ in range(ORDERS + 2)]
-        runs = list(shingles(raw, off, n))
-        every = np.sort(np.concatenate([np.zeros(0, np.uint64), *(v >> shift for *_, v in runs)]))
-        own = distinct(every[1:][every[1:] == every[:-1]])
-        for a, m, doc, values in runs:
+        runs = list(_shingles(raw, off, n, seeds))
+        every_one = np.concatenate([np.zeros(0, np.uint64), *(v >> shift for _, _, _, v, _ in runs)])
+        known, own, seen = distinct(every_one), repeated_in(every_one), set()
+        for a, m, doc, values, other in runs:
             cut = np.searchsorted(doc, np.arange(m + 1))
             short = values >> shift
-            at = np.minimum(np.searchsorted(shared, short), max(len(shared) - 1, 0))
-            there = member(short, shared)
-            rank = np.where(member(short, own), 1, 0)  # 0: nowhere else
-            if len(shared):
-                rank = np.where(there, classes[at].astype(np.int64) + 2, rank)
+            # rare first: nowhere else, in this block only, in so many blocks
+            rank = classes[np.searchsorted(known, short)].astype(np.int64) + 1 if len(known) else np.zeros(0, np.int64)
+            rank[(rank == 1) & ~member(short, own)] = 0
             counts = np.diff(cut)
             size[a : a + m] = counts
             prefix = counts - _needed(counts, percent) + 1
-            unique = np.bincount(doc[rank == 0], minlength=m)
+            shared = np.bincount(doc[rank > 0], minlength=m)
+            possible = (shared >= _needed(counts, percent)) & (100 * counts >= percent * (counts + 1))
             for r in range(m):
                 x, y = int(cut[r]), int(cut[r + 1])
                 if x == y:
                     continue
                 own_values = values[x:y]
-                folded = mix64(own_values + _SEEDS[0])
-                nodes[a + r] = np.array([own_values.sum(), folded.sum()], "<u8").tobytes()
-                u, p = int(unique[r]), int(prefix[r])
-                if u >= p:
+                node = np.array([own_values.sum(), other[x:y].sum()], "<u8").tobytes()
+                nodes[a + r] = node
+                if not possible[r] or node in seen:
                     continue
-                order_rank, signed = rank[x:y], own_values.view(np.int64)
-                lists[0][a + r] = signed[order_rank > 0]  # no other set holds the rest
+                seen.add(node)
+                order_rank, signed, p = rank[x:y], own_values.view(np.int64), int(prefix[r])
+                found = []
                 for k in range(ORDERS):
-                    first = np.lexsort((mix64(own_values ^ _SEEDS[k]), order_rank))[u:p]
+                    mixed = mix64(own_values ^ np.uint64(seeds[2 + k]))
+                    first = (np.lexsort((mixed, order_rank)) if k == 0 else np.argsort(mixed))[:p]
+                    found.append(first[order_rank[first] > 0])
+                if not all(len(x) for x in found):
+                    continue
+                lists[0][a + r] = signed[order_rank > 0]  # no other set holds the rest
+                for k, first in enumerate(found):
                     lists[1 + k][a + r] = signed[first]
-                lists[-1][a + r] = np.arange(u, p, dtype=np.int32)
+                lists[-1][a + r] = np.arange(p - len(found[0]), p, dtype=np.int32)
         kinds = [pa.list_(pa.int64())] * (ORDERS + 1) + [pa.list_(pa.int32())]
         return pa.table([table.column("id"), pa.array(size), pa.array(nodes, pa.binary()), *(pa.array(x, t) for x, t in zip(lists, kinds, strict=True))], names=schema.names)
 
-    found = repeated(blocks, values_of, bits, FILTER_BITS)
-    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(mark, schema)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the stored candidate pairs (a, b): those that share prefix tokens under the other orders too, and link."""
-    rest = [f"prefix{k}" for k in range(1, ORDERS)]
-    side = lambda c: sets.select(F.col("node").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in (*rest, "tokens", "n_shingles")))
-    if pairs.count() <= BROADCAST_PAIRS:  # only the sets of candidates are shuffled, and once
-        right = side("b").join(F.broadcast(pairs.select("b").distinct()), "b")
-        both = side("a").join(F.broadcast(pairs), "a").join(right, "b")
-    else:
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-    meets = F.lit(True)
-    for x in rest:
-        meets = meets & F.arrays_overlap(f"a_{x}", f"b_{x}")
-    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    links = F.when(meets, 100 * common >= percent * (F.col("a_n_shingles") + F.col("b_n_shingles") - common)).otherwise(False)
-    return both.filter(links).select("a", "b")
+    found = counted(blocks, counter, lambda t: distinct(every(t)))
+    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(mark, schema), total
 
 
 def _possible(percent: int) -> F.Column:
@@ -158,72 +161,143 @@ def _possible(percent: int) -> F.Column:
     return sizes & ((100 + percent) * (1 + F.least(n - p - 1, m - q - 1)) >= percent * (n + m))
 
 
-def _reachable(percent: int) -> F.Column:
+def _reachable(percent: int, mine: str, theirs: str) -> F.Column:
     """Prefix filter of a pair whose prefixes' common tokens are all known: those and the larger rest must do.
 
-    Of the two prefixes, take the one that ends first in the global order: common tokens up to its end
-    lie in both prefixes, and those behind it in the rest of its own set.
+    Of the two prefixes, take the one that ends first in the order: common tokens up to its end lie
+    in both prefixes, and those behind it in the rest of its own set.
     """
     rest = lambda c: F.ceil(F.col(c) * percent / 100) - 1  # noqa: E731  tokens behind the prefix
-    common = F.size(F.array_intersect("mine", "theirs"))
-    return (100 + percent) * (common + F.greatest(rest("n"), rest("m"))) >= percent * (F.col("n") + F.col("m"))
+    common = F.size(F.array_intersect(mine, theirs))
+    return (common > 0) & ((100 + percent) * (common + F.greatest(rest("n"), rest("m"))) >= percent * (F.col("n") + F.col("m")))
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of all linked nodes."""
-    postings = sets.select("node", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("prefix0", "places")).alias("t")).select("node", "n", F.col("t.prefix0").alias("token"), F.col("t.places").alias("place"))
-    postings = stored(postings, "postings")
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Components of the candidate pairs (hub, node, hub_comp, comp) that pass the prefix filters of the other orders, and then link.
+
+    ``sets`` stays where it is, bucketed by node; a hub's prefixes, and later its set, travel to its pairs' nodes.
+    """
+    others = [f"prefix{k}" for k in range(1, ORDERS)]
+    near = sets.select("node", F.col("n_shingles").alias("n"), *others)
+    far = sets.select(F.col("node").alias("hub"), F.col("n_shingles").alias("m"), *(F.col(c).alias(f"hub_{c}") for c in others))
+    passes = F.lit(True)
+    for c in others:
+        passes = passes & _reachable(percent, c, f"hub_{c}")
+    left = pairs.join(far, "hub").join(near, "node").filter(passes).select(*pairs.columns)
+    near = sets.select("node", F.col("n_shingles").alias("n"), "tokens")
+    far = sets.select(F.col("node").alias("hub"), F.col("n_shingles").alias("m"), F.col("tokens").alias("hub_tokens"))
+    common = F.size(F.array_intersect("tokens", "hub_tokens"))
+    return left.join(far, "hub").join(near, "node").filter(100 * common >= percent * (F.col("n") + F.col("m") - common)).select(F.col("hub_comp").alias("a"), F.col("comp").alias("b")).distinct()
+
+
+def _starred(rows: DataFrame, sizes: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of nodes and the centre of their part of a token's group, where both are of different components and may link."""
     late = (F.col("place") * (100 + percent) > (100 - percent) * F.col("n")).alias("late")
-    edges, roots = None, None
-    for turn in range(STAR_ROUNDS + 1):
-        # postings with the component of each node; a token whose nodes are all of one component is done with
-        if roots is None:
-            labelled = postings.withColumn("comp", F.col("node"))
+    mixed = rows.join(F.broadcast(sizes), "token", "left").withColumn("part", skew.chunk(F.col("node"), F.col("size"), STAR, turn))
+    # the first round's centres agree between tokens, the later ones' differ
+    order = [late, F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)), F.col("node")]
+    centre = F.first(F.struct(F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))).over(Window.partitionBy("token", "part").orderBy(*order))
+    near = mixed.withColumn("c", centre).select("node", "n", "place", "comp", "c.*")
+    return near.filter((F.col("comp") != F.col("hub_comp")) & _possible(percent)).select(*PAIR).distinct()
+
+
+def _left(rows: DataFrame, sizes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """All pairs of one token's group that are of different components and may link, each pair once.
+
+    A pair is made at its first common token alone; tokens within one component cannot be common to
+    it. A heavy token's group is cut into parts, and two parts meet in a task of their own.
+    """
+    own = rows.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).getField("token").alias("mine"))
+    rest = rows.join(own, "node").join(F.broadcast(sizes), "token", "left").withColumn("part", skew.chunk(F.col("node"), F.col("size"), TILE))
+    rest = scratch.stored(rest.withColumn("last", skew.parts(F.col("size"), TILE) - 1).drop("size"), "open")
+    left = rest.withColumn("other", F.explode(F.sequence(F.col("part"), F.col("last"))))
+    right = rest.select("token", F.col("part").alias("other"), "last", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"), F.col("mine").alias("theirs"))
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("other")))).drop("last")
+    first = F.element_at(F.array_intersect("mine", "theirs"), 1) == F.col("token")
+    once = (F.col("part") < F.col("other")) | (F.col("node") < F.col("hub"))
+    near = left.join(right, ["token", "part", "other"]).filter(once & (F.col("comp") != F.col("hub_comp")) & _possible(percent) & first & _reachable(percent, "mine", "theirs"))
+    return near.select(*PAIR)
+
+
+def _postings(prefixes: DataFrame) -> DataFrame:
+    """(node, n, comp, token, place) of the first order's prefixes."""
+    each = prefixes.select("node", F.col("n_shingles").alias("n"), "comp", F.explode(F.arrays_zip("prefix0", "places")).alias("t"))
+    return each.select("node", "n", "comp", F.col("t.prefix0").alias("token"), F.col("t.places").alias("place"))
+
+
+def _open(named: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Postings of tokens whose nodes are of several components; with one component only, a token is done with."""
+    several = named.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
+    several = several.join(F.broadcast(sizes), "token", "left").select("token", F.explode(F.sequence(F.lit(0), skew.parts(F.col("size"), STAR) - 1)).alias("part"))
+    cut = named.join(F.broadcast(sizes), "token", "left").withColumn("part", skew.chunk(F.col("node"), F.col("size"), STAR)).drop("size")
+    return cut.join(several, ["token", "part"], "left_semi").select(*named.columns)
+
+
+def _links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
+    """(node, root) of all linked nodes, or none."""
+    prefixes = sets.select("node", "n_shingles", "prefix0", "places", F.col("node").alias("comp"))
+    rows = _postings(prefixes)
+    sizes = skew.heavy_keys(rows, "token").withColumnRenamed("n", "size")
+    roots = None
+    for turn in range(len(STARS) + 1):
+        if turn == len(STARS):
+            pairs = _left(rows, sizes, percent, scratch)
+        elif STARS[turn] == "components":
+            one = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "place")).alias("r")
+            pairs = _starred(rows.groupBy("token", "comp").agg(one).select("token", "comp", "r.node", "r.n", "r.place"), sizes, turn, percent)
         else:
-            few = roots.count() <= BROADCAST_PAIRS
-            labelled = postings.join(F.broadcast(roots) if few else roots, "node", "left").select("node", "n", "token", "place", F.coalesce("root", "node").alias("comp"))
-        hub = F.min(F.struct(late, F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)).alias("h"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp")))
-        hubs = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), hub.alias("c")).filter("low <> high").select("token", "c.*")
-        if turn:
-            hubs = stored(hubs, "hubs")
-            labelled = stored(labelled.join(hubs.select("token"), "token", "left_semi"), "postings")
-            postings = labelled.drop("comp")
-        if turn < STAR_ROUNDS:
-            near = labelled.join(hubs, "token").filter((F.col("comp") != F.col("hub_comp")) & _possible(percent))
-            pairs = near.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        else:  # all that is left, in full
-            # a pair is made at its first common token alone; tokens within one component cannot be common to it
-            own = labelled.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).getField("token").alias("mine"))
-            rest = stored(labelled.join(own, "node"), "open")
-            other = rest.select("token", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"), F.col("mine").alias("theirs"))
-            first = F.element_at(F.array_intersect("mine", "theirs"), 1) == F.col("token")
-            near = rest.join(other, "token").filter((F.col("node") < F.col("hub")) & (F.col("comp") != F.col("hub_comp")) & _possible(percent) & first & _reachable(percent))
-            pairs = near.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        found = stored(_verified(stored(pairs, "pairs"), sets, percent), "links")
-        if turn and found.isEmpty():
-            continue
-        edges = found if edges is None else edges.unionByName(found)
-        roots = components(edges)
+            pairs = _starred(rows, sizes, turn, percent)
+        pairs = scratch.stored(pairs, "pairs")
+        found = scratch.stored(_verified(pairs, sets, percent), "links")
+        scratch.drop(pairs)
+        step = None if found.isEmpty() else components(found, scratch)  # of components found so far
+        scratch.drop(found)
+        if step is not None:
+            news = step.withColumnRenamed("root", "up")
+            if roots is None:
+                roots = step
+            else:
+                old = skew.attached(roots, news.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+                fresh = news.join(roots.select("node"), "node", "left_anti").select("node", F.col("up").alias("root"))
+                roots = scratch.stored(old.unionByName(fresh), "roots")
+        if turn < len(STARS):
+            before = rows
+            if not turn:
+                named = prefixes if step is None else prefixes.drop("comp").join(step, "node", "left").withColumn("comp", F.coalesce("root", "node"))
+                named = _postings(named)
+            else:
+                named = rows if step is None else skew.attached(rows, news.withColumnRenamed("node", "comp"), "comp", "left").withColumn("comp", F.coalesce("up", "comp")).drop("up")
+            rows = scratch.stored(_open(named, sizes), "rows")
+            scratch.drop(before)
     return roots
 
 
 def similarity_classes(docs: DataFrame, percent: int = 75, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: id, n_shingles, component_id (smallest id that links reach, itself included)."""
-    profile = stored(_profile(docs, percent, n, id_col, text_col), "profile")
-    full = profile.filter("n_shingles > 0")
-    # one row for each distinct set; a large group of copies is aggregated before it is shuffled
-    nodes = full.groupBy("node").agg(F.min("id").alias("low"))
-    cols = ["n_shingles", "tokens", *(f"prefix{k}" for k in range(ORDERS)), "places"]
-    # equal sets have equal tokens and prefixes: any row of a node will do
-    alive = full.filter("tokens is not null")
-    sets = stored(alive.groupBy("node").agg(*(F.first(c).alias(c) for c in cols)), "sets")
-    roots = _links(sets, percent)
-    # smallest id of each component, then of each node, then of each document
-    held = nodes.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
-    held = stored(held, "held")
-    lows = held.groupBy("root").agg(F.min("low").alias("component"))
-    of_node = held.join(lows, "root").select("node", "component")
-    return profile.select("id", "n_shingles", "node").join(of_node, "node", "left").select(F.col("id").alias(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"))
+    spark = docs.sparkSession
+    with Scratch(spark) as scratch:
+        found, total = _profile(docs, percent, n, id_col, text_col)
+        profile = scratch.stored(found, "profile")
+        # one row for each distinct set: equal sets have equal tokens and prefixes, so any row of a node will do
+        alive = profile.filter("tokens is not null").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n_shingles", "tokens", *(f"prefix{k}" for k in range(ORDERS)), "places")))
+        buckets = max(2 * spark.sparkContext.defaultParallelism, -(-total // BUCKET_BYTES))
+        sets = scratch.bucketed(alive, "node", buckets, "sets")
+        names = scratch.stored(profile.select("id", "n_shingles", "node"), "names")
+        scratch.drop(profile)
+        roots = _links(sets, percent, scratch)
+        scratch.drop(sets)
+        # smallest id of each node, then of each component, then of each document
+        nodes = names.filter("n_shingles > 0").groupBy("node").agg(F.min("id").alias("component"))
+        if roots is not None:
+            held = scratch.stored(nodes.join(roots, "node", "left"), "held")
+            linked = held.filter("root is not null")
+            lows = scratch.stored(linked.groupBy("root").agg(F.min("component").alias("component")), "lows")
+            of_root = skew.attached(linked.select("node", "root"), lows, "root").select("node", "component")
+            nodes = scratch.stored(held.filter("root is null").select("node", "component").unionByName(of_root), "nodes")
+        # a set that many documents share is a heavy key
+        full = skew.attached(names.filter("n_shingles > 0").select("id", "n_shingles", "node"), nodes, "node").select("id", "n_shingles", "component")
+        empty = names.filter("n_shingles = 0").select("id", "n_shingles", F.col("id").alias("component"))
+        return stored(full.unionByName(empty).select(F.col("id").alias(id_col), "n_shingles", F.col("component").alias("component_id")), "classes")
 
 
 def keep_one(docs: DataFrame, percent: int = 75, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

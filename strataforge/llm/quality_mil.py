@@ -75,7 +75,7 @@ def passages(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = np.zeros(n)
     size[full] = stop - begin
     length = (words.end - words.begin).astype(np.float64)
-    hashes = Words(raw, off, lower=True).hashes()
+    hashes = Words(raw, off, lower=True).hashes(1)
     mean = np.bincount(place, length, n) / np.maximum(per, 1)
     square = np.bincount(place, length**2, n) / np.maximum(per, 1)
     order = np.lexsort((hashes, place))

@@ -1,9 +1,14 @@
 """Substring deduplication (operator 5).
 
-Every window of ``width`` consecutive words gets a 64-bit Rabin-Karp hash; Spark counts all of
-them by value (``repeats``); windows whose hash occurs again, in the same document or another,
-are merged into maximal removal intervals, and the words inside go. Two different windows share
-a hash with probability 2^-64 for each pair.
+Every window of ``width`` consecutive words gets a Rabin-Karp hash modulo the prime 2^61 - 1, with
+a base drawn for each run, and Spark counts all of them by value (``repeats``) in two steps. First
+the hashes' leading bits (eight more than the number of windows needs), which tell nearly all
+windows that occur once; then, for the windows that are left, the whole hash and a second one with
+another base and other word hashes: 122 bits. Windows that both steps find again, in the same
+document or another, are merged into maximal removal intervals, and the words inside go.
+
+Among n different windows about n^2 / 2^123 pairs share both hashes, whatever the texts are: none
+expected even at 10^15 windows.
 
 Defined results: a null or empty text has no words; a text of fewer words than ``width`` keeps
 all; repeated rows are copies of one another, so all their windows repeat; an empty table gives
@@ -20,16 +25,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataforge.llm.repeats import bucket_bits, in_blocks, member, repeated, unpacked
-from strataforge.llm.shared import Words, arrow_bytes, distinct, doc_runs, window_hashes
+from strataforge.llm.repeats import REPORT, Counter, classes_of, counted, filter_bits, in_blocks, member, repeated_in
+from strataforge.llm.shared import Words, arrow_bytes, distinct, doc_runs, fresh_seeds, window_hashes
+
+BITS = 61
 
 
-def _window_values(raw: np.ndarray, off: np.ndarray, width: int):
-    """Per run of documents: first row, words, window hashes, and the word at which each window starts."""
-    for a, b in doc_runs(off):
-        words = Words(raw[off[a] : off[b]], off[a : b + 1] - off[a])
-        values, starts = window_hashes(words.hashes(), words.first, width)
-        yield a, words, values, starts
+class _Windows:
+    """All windows of a block's documents, run by run, with their hashes."""
+
+    def __init__(self, table: pa.Table, width: int, seeds: list[int]) -> None:
+        raw, off = arrow_bytes(table.column("text"))
+        self.width, self.seeds, self.runs, found = width, seeds, [], [np.zeros(0, np.uint64)]
+        for a, b in doc_runs(off):
+            words = Words(raw[off[a] : off[b]], off[a : b + 1] - off[a])
+            values, starts = window_hashes(words.hashes(seeds[0]), words.first, width, seeds[1])
+            self.runs.append((words, starts))
+            found.append(values)
+        self.values = np.concatenate(found)
+        self.cut = np.concatenate(([0], np.cumsum([len(x) for _, x in self.runs]))).astype(np.int64)
+
+    def leading(self, bits: int) -> np.ndarray:
+        return self.values >> np.uint64(BITS - bits)
+
+    def suspects(self, classes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Windows whose leading bits another block has too, and those whose leading bits occur twice in this block."""
+        short = self.leading(bits)
+        known = distinct(short)
+        elsewhere = classes[np.searchsorted(known, short)] > 0 if len(known) else np.zeros(0, bool)
+        return elsewhere, member(short, repeated_in(short))
+
+    def second(self, pick: np.ndarray) -> np.ndarray:
+        """Second hash of the picked windows, in order."""
+        out = [np.zeros(0, np.uint64)]
+        for (words, _), a, b in zip(self.runs, self.cut[:-1], self.cut[1:], strict=True):
+            if pick[a:b].any():
+                out.append(window_hashes(words.hashes(self.seeds[2]), words.first, self.width, self.seeds[3])[0][pick[a:b]])
+        return np.concatenate(out)
+
+
+def _pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, the place of each given pair among them, and how often each occurs."""
+    order = np.lexsort((second, first))
+    a, b = first[order], second[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    place = np.empty(len(a), np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    return a[fresh], b[fresh], place, np.bincount(place, minlength=int(fresh.sum()))
 
 
 def _covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
@@ -68,26 +111,38 @@ def repeated_spans(docs: DataFrame, width: int = 35, id_col: str = "doc_id", tex
 
     ``with_text`` adds the text itself and ``kept`` (the kept words joined by one space).
     """
-    blocks, _, total = in_blocks(docs, id_col, text_col)
-    bits = bucket_bits(total // 6)
-
-    def values_of(table: pa.Table) -> np.ndarray:
-        raw, off = arrow_bytes(table.column("text"))
-        found = [v for _, _, v, _ in _window_values(raw, off, width)]
-        return distinct(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-
+    blocks, n_blocks, total = in_blocks(docs, id_col, text_col)
+    guess = max(1, total // 6)  # windows, about
+    bits, seeds = filter_bits(guess), fresh_seeds(4)
+    coarse, fine = Counter(n_blocks, guess, bits), Counter(n_blocks, guess, BITS)
+    step = lambda df, k: df.withColumn("step", F.lit(k))
+    first = step(counted(blocks, coarse, lambda t: distinct(_Windows(t, width, seeds).leading(bits))), 0)
+
+    def report(table: pa.Table, returned: pa.Table) -> pa.Table:
+        block = _Windows(table, width, seeds)
+        elsewhere, _ = block.suspects(classes_of(returned), bits)
+        a, b, _, _ = _pairs(block.values[elsewhere], block.second(elsewhere))
+        return fine.report(table.column("block")[0].as_py(), a, b)
+
+    second = step(fine.totals(blocks.groupBy("block").cogroup(first.groupBy("block")).applyInArrow(report, REPORT)), 1)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *OUT.fields, *([T.StructField(text_col, T.StringType()), T.StructField("kept", T.StringType())] if with_text else [])])
 
     def mark(table: pa.Table, returned: pa.Table) -> pa.Table:
-        shared, _ = unpacked(returned)
-        raw, off = arrow_bytes(table.column("text"))
-        runs = list(_window_values(raw, off, width))
-        every = np.sort(np.concatenate([v for _, _, v, _ in runs])) if runs else np.zeros(0, np.uint64)
-        own = distinct(every[1:][every[1:] == every[:-1]])
+        at = returned.column("step").to_numpy()
+        block = _Windows(table, width, seeds)
+        elsewhere, here = block.suspects(classes_of(returned.filter(pa.array(at == 0))), bits)
+        either = elsewhere | here
+        _, _, place, times = _pairs(block.values[either], block.second(either))
+        # the pairs that were reported: those of windows that are elsewhere
+        told = np.zeros(len(times), bool)
+        told[place[elsewhere[either]]] = True
+        again = times > 1
+        again[told] |= classes_of(returned.filter(pa.array(at == 1))) > 0
+        twice = np.zeros(len(either), bool)
+        twice[either] = again[place]
         n_words, n_gone, spans, shas, kept = [], [], [], [], []
-        for _, words, values, starts in runs:
-            twice = member(values, shared) | member(values, own)
-            gone = _covered(len(words.begin), starts[twice], width)
+        for (words, starts), x, y in zip(block.runs, block.cut[:-1], block.cut[1:], strict=True):
+            gone = _covered(len(words.begin), starts[twice[x:y]], width)
             data, doc_at = _kept_bytes(words, gone)
             n_words.append(np.diff(words.first))
             total_gone = np.concatenate(([0], np.cumsum(gone)))
@@ -100,8 +155,8 @@ def repeated_spans(docs: DataFrame, width: int = 35, id_col: str = "doc_id", tex
             follows = np.append(gone[1:], False) if len(gone) else gone
             stop = np.flatnonzero(gone & (~follows | head[1:])) + 1
             of = np.searchsorted(begin, words.first)
-            for d, (x, y) in enumerate(zip(doc_at.tolist(), doc_at.tolist()[1:], strict=False)):
-                text = data[x : max(x, y - 1)]
+            for d, (u, v) in enumerate(zip(doc_at.tolist(), doc_at.tolist()[1:], strict=False)):
+                text = data[u : max(u, v - 1)]
                 shas.append(hashlib.sha256(text).hexdigest())
                 if with_text:
                     kept.append(text.decode())
@@ -113,8 +168,7 @@ def repeated_spans(docs: DataFrame, width: int = 35, id_col: str = "doc_id", tex
             columns += [table.column("text"), pa.array(kept, pa.string())]
         return pa.table(columns, names=schema.names)
 
-    found = repeated(blocks, values_of, bits)
-    return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(mark, schema)
+    return blocks.groupBy("block").cogroup(first.unionByName(second).groupBy("block")).applyInArrow(mark, schema)
 
 
 def remove_repeats(docs: DataFrame, width: int = 35, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:

@@ -73,6 +73,33 @@ def test_long_slices_and_another_vocabulary():
     assert encode(multi, ["Пример текста", "mixed текст 12"]) == [library(multi).encode_ordinary(x) for x in ["Пример текста", "mixed текст 12"]]
 
 
+def mirrored(steps):
+    """Two words of the same length that every polynomial hash modulo 2^64 confuses from ten steps on."""
+    out = []
+    for a, b in ("ab", "ba"):
+        word = a
+        for _ in range(steps):
+            word += word.translate(str.maketrans(a + b, b + a))
+        out.append(word)
+    return out
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_cached_slices_are_compared_byte_by_byte(monkeypatch, few):
+    if few:  # a hash of a few values only: nearly all slices meet a stranger's
+        real = bpe.byte_hashes
+        monkeypatch.setattr(bpe, "byte_hashes", lambda *a: real(*a) % np.uint64(11))
+    texts = [*mirrored(9), *mirrored(10), *mirrored(11), "one two three four", "once upon a time, two", "", "four three"]
+    own = bpe.Encoder(RANKS)
+    lib = library()
+    for batch in (texts, texts[::-1], texts[4:]):
+        data = [x.encode() for x in batch]
+        off = np.concatenate(([0], np.cumsum([len(d) for d in data])))
+        ids, counts, _ = own.encode(np.frombuffer(b"".join(data), np.uint8), off)
+        cut = np.concatenate(([0], np.cumsum(counts)))
+        assert [ids[a:b].tolist() for a, b in zip(cut, cut[1:], strict=False)] == [lib.encode_ordinary(x) for x in batch]
+
+
 def test_columns_of_encode_and_decode(spark):
     rows = [(1, "Hello world's end\n\n ok", "x"), (2, None, "y"), (3, "", "z"), (3, "", "z"), (4, "wörd " * 3000, None)]
     df = bpe.encode(spark.createDataFrame(rows, "doc_id long, text string, n string"), RANKS)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strataforge.llm import ivfpq, ngram_join, repeats, shared, substring_dedup
+from strataforge.llm import ivfpq, ngram_join, repeats, shared, skew, substring_dedup
 from strataforge.llm.components import components
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
@@ -128,13 +128,55 @@ def test_large_group_of_near_copies(spark):
     assert got == dict(enumerate(classes_by_hand(texts)))
 
 
-def test_links_survive_without_star_rounds_and_broadcasts(spark, monkeypatch):
+def test_links_survive_without_star_rounds_and_in_small_parts(spark, monkeypatch):
     texts = corpus(9, 60)
     want = dict(enumerate(classes_by_hand(texts)))
-    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 0)
-    monkeypatch.setattr(ngram_join, "BROADCAST_PAIRS", 0)
+    for name, value in (("STARS", ()), ("TILE", 3)):
+        monkeypatch.setattr(ngram_join, name, value)
+    monkeypatch.setattr(skew, "LEAST", 5)
+    monkeypatch.setattr(repeats, "FAN", 3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(table(spark, texts)).collect()}
     assert got == want
+    monkeypatch.setattr(ngram_join, "STARS", ("nodes", "components", "nodes"))
+    monkeypatch.setattr(ngram_join, "STAR", 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(table(spark, texts)).collect()}
+    assert got == want
+
+
+def mirrored(steps):
+    """Two words of the same length that every polynomial hash modulo 2^64 confuses from ten steps on."""
+    out = []
+    for a, b in ("ab", "ba"):
+        word = a
+        for _ in range(steps):
+            word += word.translate(str.maketrans(a + b, b + a))
+        out.append(word)
+    return out
+
+
+def test_words_that_simple_hashes_confuse(spark):
+    tail = [f"t{i}" for i in range(34)]
+    texts = [t for k in (9, 10, 11, 12) for w in mirrored(k) for t in (w, " ".join([w, *tail[: 20 + k], *["z"] * (14 - k)]))]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(table(spark, texts)).collect()}
+    assert got == dict(enumerate(classes_by_hand(texts))) and all(got[i][1] == i for i in range(0, len(texts), 2))
+    got = {r.doc_id: r.n_removed for r in substring_dedup.repeated_spans(table(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [gone for _, gone, _ in removed_by_hand(texts, 35)] == [0] * len(texts)
+
+
+def test_repeats_are_found_over_levels_of_blocks(spark, monkeypatch):
+    texts = corpus(11, 70)
+    want = {i: (gone, hashlib.sha256(kept.encode()).hexdigest()) for i, (_, gone, kept) in enumerate(removed_by_hand(texts, 35))}
+    monkeypatch.setattr(repeats, "FAN", 2)
+    got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in substring_dedup.repeated_spans(table(spark, texts).repartition(3), 35).collect()}
+    assert got == want
+
+
+def test_one_row_repeated_many_times(spark):
+    one = " ".join(f"r{i}" for i in range(60))
+    df = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(one).alias("text")).repartition(8)
+    assert [tuple(r) for r in substring_dedup.repeated_spans(df).groupBy("doc_id", "n_words", "n_removed").count().collect()] == [(7, 60, 60, 20_000)]
+    assert [tuple(r) for r in ngram_join.similarity_classes(df).groupBy("doc_id", "n_shingles", "component_id").count().collect()] == [(7, 56, 7, 20_000)]
+    assert ngram_join.keep_one(df).count() == 1
 
 
 def test_one_of_each_group_stays(spark):
@@ -150,10 +192,21 @@ def test_one_of_each_group_stays(spark):
 
 def test_components_of_paths_stars_and_rings(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(300, 301), (301, 302), (302, 300), (7, 7), (301, 300)]
-    got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+    with shared.Scratch(spark) as scratch:
+        got = dict(components(spark.createDataFrame(edges, "a long, b long"), scratch).collect())
+        none = components(spark.createDataFrame([], "a long, b long"), scratch).count()
     want = {i: 0 for i in range(51)} | {100 + i: 100 for i in range(40)} | {300: 300, 301: 300, 302: 300}
     assert got == want
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert none == 0 and not scratch.held
+
+
+def test_heavy_keys_join_as_others_do(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LEAST", 10)
+    left = spark.createDataFrame([(k, i) for i in range(200) for k in ("hot" if i % 3 else f"k{i % 20}",)], "k string, i int")
+    right = spark.createDataFrame([(f"k{i}", i) for i in range(0, 20, 2)] + [("hot", 99)], "k string, v int")
+    assert {r.k for r in skew.heavy_keys(left, "k").collect()} == {"hot"}
+    for how in ("inner", "left"):
+        assert sorted(map(str, skew.attached(left, right, "k", how).collect())) == sorted(map(str, left.join(right, "k", how).collect()))
 
 
 def test_packed_values_and_hashes():
@@ -164,11 +217,21 @@ def test_packed_values_and_hashes():
     raw, off = shared.arrow_bytes(pa.chunked_array([pa.array(["ab cd", None, "", "ef"]), pa.array(["gh\u2003i", "cd"])]))
     words = shared.Words(raw, off)
     assert words.first.tolist() == [0, 2, 2, 2, 3, 4, 5]
-    h = words.hashes()
-    assert h[1] == h[4] and len(set(h.tolist())) == 4
+    h = words.hashes(5)
+    assert h[1] == h[4] and len(set(h.tolist())) == 4 and not set(h.tolist()) & set(words.hashes(7).tolist())
     assert repeats.member(np.array([1, 5], np.uint64), np.array([5, 9], np.uint64)).tolist() == [False, True]
 
 
+def test_window_hashes_by_hand():
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 2**63, 90).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+    first = np.array([0, 40, 42, 42, 90])
+    value = lambda s, base: sum(int(w) % shared.PRIME * pow(base, j, shared.PRIME) for j, w in enumerate(words[s : s + 7].tolist())) % shared.PRIME
+    for base in shared.fresh_seeds(2):
+        got, starts = shared.window_hashes(words, first, 7, base, piece=16)
+        assert starts.tolist() == [*range(34), *range(42, 84)] and got.tolist() == [value(s, base) for s in starts.tolist()]
+
+
 # --- nearest neighbours
 
 
