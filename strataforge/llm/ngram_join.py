@@ -15,10 +15,9 @@ named by 128 bits of two independent hashes. The nodes' prefixes and sets are wr
 node once, and only candidates move to them.
 
 Candidates of one token are not expanded into all pairs: in rounds of stars (each node against one
-centre of its token's group, then one node of each component against one centre, then again each
-node against another) most of a group links; after each round only pairs of different components
-remain of interest. What is left is then enumerated in full, so no link is lost. Groups of heavy
-tokens are cut into parts of about a thousand nodes, stars and pairs alike.
+centre of its token's group, another one each round) most of a group links; after each round only
+pairs of different components remain of interest. What is left is then enumerated in full, so no
+link is lost. Groups of heavy tokens are cut into parts, stars and pairs alike.
 
 The result is exact unless several 64-bit hashes collide within one pair of documents.
 
@@ -42,8 +41,7 @@ from strataforge.llm.repeats import Counter, classes_of, counted, filter_bits, i
 from strataforge.llm.shared import Scratch, Words, arrow_bytes, chain_hashes, distinct, doc_runs, fresh_seeds, mix64, stored, window_starts
 
 ORDERS = 3
-#: What each round of stars pairs with a centre: every node, or one node of each component.
-STARS = ("nodes", "components", "nodes")
+STAR_ROUNDS = 5
 BUCKET_BYTES = 64 << 20  # of text, for each bucket of the sets
 #: Nodes of a heavy token that share a centre, and that are paired in one task.
 STAR, TILE = 256, 1000
@@ -82,7 +80,7 @@ def _needed(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """One row a document: id, n_shingles, node, and for sets that may link: the tokens that occur elsewhere and,
+    """One row a document: id, n_shingles, node, row (its block), and for sets that may link: the tokens that occur elsewhere and,
     for each order, those of its prefix (for the first in order, with their positions). Of equal sets in one
     block only one row has them. Also the text's bytes."""
     blocks, n_blocks, total = in_blocks(docs, id_col, text_col)
@@ -101,7 +99,7 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
 
     longs = T.ArrayType(T.LongType())
     schema = T.StructType(
-        [T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("tokens", longs)]
+        [T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("row", T.IntegerType()), T.StructField("tokens", longs)]
         + [T.StructField(f"prefix{k}", longs) for k in range(ORDERS)]
         + [T.StructField("places", T.ArrayType(T.IntegerType()))]
     )
@@ -148,7 +146,7 @@ def _profile(docs: DataFrame, percent: int, n: int, id_col: str, text_col: str)
                     lists[1 + k][a + r] = signed[first]
                 lists[-1][a + r] = np.arange(p - len(found[0]), p, dtype=np.int32)
         kinds = [pa.list_(pa.int64())] * (ORDERS + 1) + [pa.list_(pa.int32())]
-        return pa.table([table.column("id"), pa.array(size), pa.array(nodes, pa.binary()), *(pa.array(x, t) for x, t in zip(lists, kinds, strict=True))], names=schema.names)
+        return pa.table([table.column("id"), pa.array(size), pa.array(nodes, pa.binary()), table.column("block"), *(pa.array(x, t) for x, t in zip(lists, kinds, strict=True))], names=schema.names)
 
     found = counted(blocks, counter, lambda t: distinct(every(t)))
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(mark, schema), total
@@ -161,14 +159,13 @@ def _possible(percent: int) -> F.Column:
     return sizes & ((100 + percent) * (1 + F.least(n - p - 1, m - q - 1)) >= percent * (n + m))
 
 
-def _reachable(percent: int, mine: str, theirs: str) -> F.Column:
-    """Prefix filter of a pair whose prefixes' common tokens are all known: those and the larger rest must do.
+def _reachable(percent: int, common: F.Column) -> F.Column:
+    """Prefix filter of a pair whose prefixes have so many tokens in common: those and the larger rest must do.
 
     Of the two prefixes, take the one that ends first in the order: common tokens up to its end lie
     in both prefixes, and those behind it in the rest of its own set.
     """
     rest = lambda c: F.ceil(F.col(c) * percent / 100) - 1  # noqa: E731  tokens behind the prefix
-    common = F.size(F.array_intersect(mine, theirs))
     return (common > 0) & ((100 + percent) * (common + F.greatest(rest("n"), rest("m"))) >= percent * (F.col("n") + F.col("m")))
 
 
@@ -182,7 +179,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     far = sets.select(F.col("node").alias("hub"), F.col("n_shingles").alias("m"), *(F.col(c).alias(f"hub_{c}") for c in others))
     passes = F.lit(True)
     for c in others:
-        passes = passes & _reachable(percent, c, f"hub_{c}")
+        passes = passes & _reachable(percent, F.size(F.array_intersect(c, f"hub_{c}")))
     left = pairs.join(far, "hub").join(near, "node").filter(passes).select(*pairs.columns)
     near = sets.select("node", F.col("n_shingles").alias("n"), "tokens")
     far = sets.select(F.col("node").alias("hub"), F.col("n_shingles").alias("m"), F.col("tokens").alias("hub_tokens"))
@@ -190,33 +187,61 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return left.join(far, "hub").join(near, "node").filter(100 * common >= percent * (F.col("n") + F.col("m") - common)).select(F.col("hub_comp").alias("a"), F.col("comp").alias("b")).distinct()
 
 
-def _starred(rows: DataFrame, sizes: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of nodes and the centre of their part of a token's group, where both are of different components and may link."""
+def _starred(named: DataFrame, sizes: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Postings (node, n, comp, token, place) of the tokens that are not done with, and the centre of their part of the token's group.
+
+    A token is done with when all its nodes are of one component; heavy tokens, whose parts do not
+    see each other, stay.
+    """
     late = (F.col("place") * (100 + percent) > (100 - percent) * F.col("n")).alias("late")
-    mixed = rows.join(F.broadcast(sizes), "token", "left").withColumn("part", skew.chunk(F.col("node"), F.col("size"), STAR, turn))
+    mixed = named.join(F.broadcast(sizes), "token", "left").withColumn("part", skew.chunk(F.col("node"), F.col("size"), STAR, turn))
     # the first round's centres agree between tokens, the later ones' differ
     order = [late, F.xxhash64("node", *(["token"] if turn else []), F.lit(turn)), F.col("node")]
-    centre = F.first(F.struct(F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))).over(Window.partitionBy("token", "part").orderBy(*order))
-    near = mixed.withColumn("c", centre).select("node", "n", "place", "comp", "c.*")
-    return near.filter((F.col("comp") != F.col("hub_comp")) & _possible(percent)).select(*PAIR).distinct()
+    group = Window.partitionBy("token", "part")
+    ordered = group.orderBy(*order)
+    centre = F.first(F.struct(F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"))).over(ordered)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    several = F.min("comp").over(whole) != F.max("comp").over(whole)
+    return mixed.withColumn("c", centre).withColumn("several", several).filter(F.col("several") | F.col("size").isNotNull()).select(*named.columns, "c.*")
+
+
+def _pairs(starred: DataFrame, percent: int) -> DataFrame:
+    """Nodes with their centres, where both are of different components and may link."""
+    return starred.filter((F.col("comp") != F.col("hub_comp")) & _possible(percent)).select(*PAIR).distinct()
+
+
+def _leaders(rows: DataFrame) -> DataFrame:
+    """(token): of the tokens that the same nodes hold, the first in the order.
+
+    All these nodes hold it before the others, so it makes every candidate that they make. Sets of
+    nodes are told apart by their size and 128 bits of hashes.
+    """
+    held = (F.bit_xor(F.xxhash64("node", F.lit(1))), F.bit_xor(F.xxhash64("node", F.lit(2))), F.count(F.lit(1)))
+    each = rows.groupBy("token").agg(*(c.alias(f"s{k}") for k, c in enumerate(held)), F.min("place").alias("place"))
+    return each.groupBy("s0", "s1", "s2").agg(F.min(F.struct("place", "token")).getField("token").alias("token")).select("token")
 
 
 def _left(rows: DataFrame, sizes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """All pairs of one token's group that are of different components and may link, each pair once.
 
-    A pair is made at its first common token alone; tokens within one component cannot be common to
-    it. A heavy token's group is cut into parts, and two parts meet in a task of their own.
+    Of tokens that the same nodes hold, one stands for all. A pair is made at its first common token
+    alone; tokens within one component cannot be common to it. A heavy token's group is cut into
+    parts, and two parts meet in a task of their own.
     """
+    rows = scratch.stored(rows, "rows")
     own = rows.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "token"))).getField("token").alias("mine"))
-    rest = rows.join(own, "node").join(F.broadcast(sizes), "token", "left").withColumn("part", skew.chunk(F.col("node"), F.col("size"), TILE))
+    rest = skew.attached(rows, _leaders(rows), "token").join(own, "node").join(F.broadcast(sizes), "token", "left").withColumn("part", skew.chunk(F.col("node"), F.col("size"), TILE))
     rest = scratch.stored(rest.withColumn("last", skew.parts(F.col("size"), TILE) - 1).drop("size"), "open")
-    left = rest.withColumn("other", F.explode(F.sequence(F.col("part"), F.col("last"))))
-    right = rest.select("token", F.col("part").alias("other"), "last", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"), F.col("mine").alias("theirs"))
-    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("other")))).drop("last")
-    first = F.element_at(F.array_intersect("mine", "theirs"), 1) == F.col("token")
+    left = rest.withColumn("other", F.explode(F.sequence(F.col("part"), F.col("last")))).drop("last")
+    right = rest.select("token", F.col("part").alias("other"), F.col("node").alias("hub"), F.col("n").alias("m"), F.col("place").alias("spot"), F.col("comp").alias("hub_comp"), F.col("mine").alias("theirs"))
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("other"))))
+    both = F.array_intersect("mine", "theirs")
+    first = F.element_at(both, 1) == F.col("token")
     once = (F.col("part") < F.col("other")) | (F.col("node") < F.col("hub"))
-    near = left.join(right, ["token", "part", "other"]).filter(once & (F.col("comp") != F.col("hub_comp")) & _possible(percent) & first & _reachable(percent, "mine", "theirs"))
-    return near.select(*PAIR)
+    # lists are compared only where the cheap conditions hold
+    cheap = once & (F.col("comp") != F.col("hub_comp")) & _possible(percent)
+    fits = F.when(cheap, first & _reachable(percent, F.size(both))).otherwise(False)
+    return left.join(right, ["token", "part", "other"]).filter(fits).select(*PAIR)
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
@@ -225,28 +250,21 @@ def _postings(prefixes: DataFrame) -> DataFrame:
     return each.select("node", "n", "comp", F.col("t.prefix0").alias("token"), F.col("t.places").alias("place"))
 
 
-def _open(named: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Postings of tokens whose nodes are of several components; with one component only, a token is done with."""
-    several = named.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
-    several = several.join(F.broadcast(sizes), "token", "left").select("token", F.explode(F.sequence(F.lit(0), skew.parts(F.col("size"), STAR) - 1)).alias("part"))
-    cut = named.join(F.broadcast(sizes), "token", "left").withColumn("part", skew.chunk(F.col("node"), F.col("size"), STAR)).drop("size")
-    return cut.join(several, ["token", "part"], "left_semi").select(*named.columns)
-
-
 def _links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
     """(node, root) of all linked nodes, or none."""
     prefixes = sets.select("node", "n_shingles", "prefix0", "places", F.col("node").alias("comp"))
-    rows = _postings(prefixes)
-    sizes = skew.heavy_keys(rows, "token").withColumnRenamed("n", "size")
+    named = _postings(prefixes)
+    sizes = skew.heavy_keys(named, "token").withColumnRenamed("n", "size")
     roots = None
-    for turn in range(len(STARS) + 1):
-        if turn == len(STARS):
-            pairs = _left(rows, sizes, percent, scratch)
-        elif STARS[turn] == "components":
-            one = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "place")).alias("r")
-            pairs = _starred(rows.groupBy("token", "comp").agg(one).select("token", "comp", "r.node", "r.n", "r.place"), sizes, turn, percent)
+    for turn in range(STAR_ROUNDS + 1):
+        rows = None
+        if turn == STAR_ROUNDS:
+            pairs = _left(named, sizes, percent, scratch)
+        elif not turn:
+            pairs = _pairs(_starred(named, sizes, turn, percent), percent)
         else:
-            pairs = _starred(rows, sizes, turn, percent)
+            rows = scratch.stored(_starred(named, sizes, turn, percent), "rows")
+            pairs = _pairs(rows, percent)
         pairs = scratch.stored(pairs, "pairs")
         found = scratch.stored(_verified(pairs, sets, percent), "links")
         scratch.drop(pairs)
@@ -260,15 +278,11 @@ def _links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
                 old = skew.attached(roots, news.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
                 fresh = news.join(roots.select("node"), "node", "left_anti").select("node", F.col("up").alias("root"))
                 roots = scratch.stored(old.unionByName(fresh), "roots")
-        if turn < len(STARS):
-            before = rows
-            if not turn:
-                named = prefixes if step is None else prefixes.drop("comp").join(step, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-                named = _postings(named)
-            else:
-                named = rows if step is None else skew.attached(rows, news.withColumnRenamed("node", "comp"), "comp", "left").withColumn("comp", F.coalesce("up", "comp")).drop("up")
-            rows = scratch.stored(_open(named, sizes), "rows")
-            scratch.drop(before)
+        if not turn:
+            named = _postings(prefixes if step is None else prefixes.drop("comp").join(step, "node", "left").withColumn("comp", F.coalesce("root", "node")))
+        elif turn < STAR_ROUNDS:
+            rows = rows.select("node", "n", "comp", "token", "place")
+            named = rows if step is None else skew.attached(rows, news.withColumnRenamed("node", "comp"), "comp", "left").withColumn("comp", F.coalesce("up", "comp")).drop("up")
     return roots
 
 
@@ -279,9 +293,12 @@ def similarity_classes(docs: DataFrame, percent: int = 75, n: int = 5, id_col: s
         found, total = _profile(docs, percent, n, id_col, text_col)
         profile = scratch.stored(found, "profile")
         # one row for each distinct set: equal sets have equal tokens and prefixes, so any row of a node will do
-        alive = profile.filter("tokens is not null").groupBy("node").agg(*(F.first(c).alias(c) for c in ("n_shingles", "tokens", *(f"prefix{k}" for k in range(ORDERS)), "places")))
+        alive = profile.filter("tokens is not null").select("node", "row", "n_shingles", "tokens", *(f"prefix{k}" for k in range(ORDERS)), "places")
+        heavy = skew.heavy_keys(alive, "node").select("node")
+        least = alive.join(F.broadcast(heavy), "node").groupBy("node").agg(F.min("row").alias("least"))
+        one = alive.join(F.broadcast(least), "node", "left").filter(F.col("least").isNull() | (F.col("row") == F.col("least"))).drop("row", "least")
         buckets = max(2 * spark.sparkContext.defaultParallelism, -(-total // BUCKET_BYTES))
-        sets = scratch.bucketed(alive, "node", buckets, "sets")
+        sets = scratch.bucketed(one, "node", buckets, "sets")
         names = scratch.stored(profile.select("id", "n_shingles", "node"), "names")
         scratch.drop(profile)
         roots = _links(sets, percent, scratch)

@@ -123,10 +123,10 @@ class Scratch:
         return out
 
     def bucketed(self, df: DataFrame, key: str, buckets: int, label: str) -> DataFrame:
-        """As ``stored``, bucketed and sorted by ``key``: joins on it leave this table where it is."""
+        """As ``stored``, one row a ``key``, bucketed and sorted by it: joins on it leave this table where it is."""
         path, name = work_folder(self.spark, label), f"{label}_{uuid.uuid4().hex}"
         with shuffles_dropped(self.spark):
-            df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+            df.repartition(buckets, key).dropDuplicates([key]).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
         out = self.spark.table(name)
         self.held.append((out, path, name))
         return out
