@@ -131,13 +131,13 @@ def test_large_group_of_near_copies(spark):
 def test_links_survive_without_star_rounds_and_in_small_parts(spark, monkeypatch):
     texts = corpus(9, 60)
     want = dict(enumerate(classes_by_hand(texts)))
-    for name, value in (("STARS", ()), ("TILE", 3)):
+    for name, value in (("STAR_ROUNDS", 0), ("TILE", 3)):
         monkeypatch.setattr(ngram_join, name, value)
     monkeypatch.setattr(skew, "LEAST", 5)
     monkeypatch.setattr(repeats, "FAN", 3)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(table(spark, texts)).collect()}
     assert got == want
-    monkeypatch.setattr(ngram_join, "STARS", ("nodes", "components", "nodes"))
+    monkeypatch.setattr(ngram_join, "STAR_ROUNDS", 3)
     monkeypatch.setattr(ngram_join, "STAR", 2)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(table(spark, texts)).collect()}
     assert got == want
@@ -247,21 +247,44 @@ def vectors(spark, ids, x):
     return spark.createDataFrame([(int(i), [float(v) for v in row] if row is not None else None, 0, "c") for i, row in zip(ids, x, strict=True)], VECTORS)
 
 
-def test_recall_and_exact_scores(spark):
+@pytest.mark.parametrize(("n", "dim"), [(3_000, 16), (50_000, 32)])
+def test_recall_and_exact_scores(spark, monkeypatch, n, dim):
     rng = np.random.default_rng(2)
-    x = rng.normal(size=(3000, 16)).astype(np.float32)
-    ids = np.arange(3000)
+    x = (rng.normal(size=(n, dim)) * rng.uniform(0.5, 2, size=(n, 1))).astype(np.float32)
+    x[: n // 10] = x[0] + rng.normal(size=(n // 10, dim)).astype(np.float32) * 0.05
+    ids, wide = np.arange(n), x.astype(float)
     got = {}
-    for r in ivfpq.neighbours(vectors(spark, ids, x), F.col("id") % 20 == 0).collect():
+    df = spark.createDataFrame(pa.table({"vec_id": ids, "embedding": pa.array(list(x), pa.list_(pa.float32())), "id": pa.array(["c"] * n)}))
+    for r in ivfpq.neighbours(df, F.col("id") % 200 == 0).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     hits = 0
-    for q in range(0, 3000, 20):
+    for q in range(0, n, 200):
         rows = sorted(got[q])
         assert [r[0] for r in rows] == list(range(1, 21)) and q not in [r[1] for r in rows]
         assert [(-s, i) for _, i, s in rows] == sorted((-s, i) for _, i, s in rows)
-        assert all(np.isclose(s, x[i].astype(float) @ x[q].astype(float), rtol=1e-12) for _, i, s in rows)
-        hits += len({r[1] for r in rows} & set(nearest_by_hand(ids, x, q, 20)))
-    assert hits / (150 * 20) >= 0.9
+        scores = (wide * wide[q]).sum(1)
+        assert all(np.isclose(s, scores[i], rtol=1e-12) for _, i, s in rows)
+        hits += len({r[1] for r in rows} & set([i for i in np.lexsort((ids, -scores)).tolist() if i != q][:20]))
+    assert hits / (len(got) * 20) >= 0.9
+
+
+def test_few_rows_are_scored_exactly(spark, monkeypatch):
+    """The threshold lets at least RERANK rows of a query through, and without ties fewer than twice as many."""
+    x = np.random.default_rng(6).normal(size=(20_000, 16))
+    rows = spark.createDataFrame(pa.table({"id": np.arange(20_000), "v": pa.array(list(x), pa.list_(pa.float64()))}))
+    index = ivfpq.fit(rows, 20_000, 5_000)
+    index.probes = len(index.cells)
+    with shared.Scratch(spark) as scratch:
+        base = scratch.stored(ivfpq._indexed(rows, index), "base")
+        tiles = ivfpq._tiles(base, index)
+        asks = rows.filter("id % 1000 = 0")
+        assert len(tiles.cuts) >= 2
+        left, right = ivfpq._dealt(base.withColumn("grp", F.get(F.array(*map(F.lit, tiles.group.tolist())), F.col("cell"))), ivfpq._asked(asks, index, tiles), tiles)
+        least = {r["query"]: r.least for r in ivfpq._thresholds(left, right, index).collect()}
+    cell = index.assign(x)
+    scores = ivfpq._scores(index, cell, index.encode(x, cell), x[::1000])
+    reach = [(scores[:, k] >= least[1000 * k] - 1e-4).sum() for k in range(20)]
+    assert all(ivfpq.RERANK <= n <= 2 * ivfpq.RERANK + 20 for n in reach)
 
 
 def test_copies_tie_to_the_smaller_id(spark):
