@@ -2,15 +2,19 @@
 
 Writer: equal payloads are found by digest (two narrow shuffles without payloads); key ranges
 are dealt to shards by payload bytes, read from a histogram of the keys and thus by the data
-alone; one wide shuffle brings each shard's records together, sorted by key. Every shard is
+alone; a key that holds more than a shard, and rows without one, are cut by payload and URL. One
+wide shuffle puts each shard's records into a partition of its own, sorted by key. Every shard is
 written to files that roll once their compressed size passes a limit. Headers, record ids and
 digests are generated anew from the content, so a retried or speculative task writes the same
-bytes: under a temporary name, renamed when complete. The manifest is written last, likewise.
+bytes: under a temporary name, then renamed to a name that holds a digest of the content. A file of that
+name that another attempt left is the same file, and is taken as it is. The manifest, which alone
+says what belongs to the archive, is written last, likewise.
 
 Reader: one task per file of the manifest; every member is parsed and its digests are checked.
 
 Defined results: a null payload is empty; null keys sort first and are never referred to when
-the group has another key; a row repeated with key and payload gives one response and revisits of
+the group has another key; of rows that share the smallest key of a payload, the response is one with
+the smallest URL (null first); a row repeated with key and payload gives one response and revisits of
 the same key; an empty table gives a manifest without files; other columns are ignored.
 """
 
@@ -21,8 +25,8 @@ import hashlib
 import json
 import uuid
 import zlib
+from collections import Counter
 from collections.abc import Iterator
-from itertools import count
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -31,12 +35,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataforge.llm import skew
 from strataforge.llm.shared import shuffles_dropped
 
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the UUID namespace for URLs
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the WARC 1.1 standard
 BINS = 4096
-MOST_SHARDS = 50_000
 
 
 def base32_sha1(data: bytes) -> str:
@@ -44,9 +48,15 @@ def base32_sha1(data: bytes) -> str:
 
 
 def _decisions(pages: DataFrame, least: int) -> DataFrame:
-    """(key, sha, target): records whose payload another record shares, with the smallest key of the group."""
-    groups = pages.filter(F.col("size") >= least).groupBy("sha", "size").agg(F.min("key").alias("target"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return pages.select("key", "sha", "size").distinct().join(groups, ["sha", "size"]).select("key", "sha", "target")
+    """(key, sha, target, target_url): records whose payload another record shares, with key and URL of the group's response.
+
+    Payloads that many records share are heavy keys: their groups are broadcast.
+    """
+    digest = pages.withColumn("digest", F.struct("sha", "size"))
+    rank = F.struct(F.col("key").isNull().alias("none"), "key", F.col("url").isNotNull().alias("named"), "url")
+    groups = digest.filter(F.col("size") >= least).groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = groups.select("digest", F.col("first.key").alias("target"), F.col("first.url").alias("target_url"))
+    return skew.attached(digest.select("key", "digest").distinct(), groups, "digest").select("key", F.col("digest.sha").alias("sha"), "target", "target_url")
 
 
 def _place(bounds: list[int], key: Column) -> Column:
@@ -59,51 +69,66 @@ def _place(bounds: list[int], key: Column) -> Column:
     return F.when(key.isNull(), F.lit(0)).otherwise(found).cast("int")
 
 
-def _shards(pages: DataFrame, shard_bytes: int, min_shards: int) -> tuple[Column, int]:
-    """A column with the shard of each key, and how many shards there are.
+def _shards(pages: DataFrame, shard_bytes: int, min_shards: int) -> tuple[Column, Column, int]:
+    """Columns with the first shard of a row's key and the number of shards that it is cut into, and how many shards there are.
 
     Key ranges that hold more than a shard are cut into equal steps, round by round, until each fits
-    or holds one key; ranges in order then fill shards. All of it follows from the rows alone.
+    or holds one key; ranges in order then fill shards. A key that alone holds more than a shard is
+    cut into several, as are the rows without a key, which come first. All of it follows from the
+    rows alone. The driver holds about one range a shard.
     """
-    low, high, total = pages.agg(F.min("key"), F.max("key"), F.sum("size")).first()
-    if low is None:
-        return F.lit(0), 1
-    target = max(1, min(shard_bytes, -(-int(total or 0) // min_shards)), -(-int(total or 0) // MOST_SHARDS))
-    cells: dict[int, list[int]] = {low: [high + 1, int(total or 0)]}  # start: stop, bytes
-    while heavy := {a: c for a, c in cells.items() if c[1] > target and c[0] - a > 1}:
-        starts = sorted(cells)
-        spans = {a: -(-(c[0] - a) // max(2, min(BINS, BINS * 64 // len(heavy)))) for a, c in heavy.items()}
-        cell = _place(starts[1:], F.col("key"))
-        begin, width = (F.from_json(F.lit(json.dumps(x)), "array<bigint>") for x in (starts, [spans.get(a, 0) for a in starts]))
-        counted = pages.filter("key is not null").select(F.get(begin, cell).alias("a"), F.get(width, cell).alias("w"), "key", "size").filter("w > 0")
-        parts = counted.groupBy("a", "w", F.expr("(key - a) div w").alias("b")).agg(F.sum("size").alias("n")).collect()
-        for a in heavy:
-            del cells[a]
-        for r in parts:
-            x = r["a"] + r["b"] * r["w"]
-            cells[x] = [min(x + r["w"], heavy[r["a"]][0]), int(r["n"])]
-    bounds, filled = [], 0
-    for a in sorted(cells):
-        if filled and filled + cells[a][1] > target:
-            bounds.append(a)
-            filled = 0
-        filled += cells[a][1]
-    return _place(bounds, F.col("key")), len(bounds) + 1
-
-
-def _record(kind: str, key, url: str | None, payload: bytes, size: int, sha: bytes, target, ordinal: int, date: str) -> bytes:
+    low, high, total, bare = pages.agg(F.min("key"), F.max("key"), F.sum("size"), F.sum(F.when(F.col("key").isNull(), F.col("size")))).first()
+    total, bare = int(total or 0), int(bare or 0)
+    target = max(1, min(shard_bytes, -(-total // min_shards)))
+    first, bounds, parts = max(1, -(-bare // target)), [], []
+    if low is not None:
+        cells: dict[int, list[int]] = {low: [high + 1, total]}  # start: stop, bytes
+        while heavy := {a: c for a, c in cells.items() if c[1] > target and c[0] - a > 1}:
+            starts = sorted(cells)
+            spans = {a: -(-(c[0] - a) // max(2, min(BINS, BINS * 64 // len(heavy)))) for a, c in heavy.items()}
+            cell = _place(starts[1:], F.col("key"))
+            begin, width = (F.from_json(F.lit(json.dumps(x)), "array<bigint>") for x in (starts, [spans.get(a, 0) for a in starts]))
+            counted = pages.filter("key is not null").select(F.get(begin, cell).alias("a"), F.get(width, cell).alias("w"), "key", "size").filter("w > 0")
+            found = counted.groupBy("a", "w", F.expr("(key - a) div w").alias("b")).agg(F.sum("size").alias("n")).collect()
+            for a in heavy:
+                del cells[a]
+            for r in found:
+                x = r["a"] + r["b"] * r["w"]
+                cells[x] = [min(x + r["w"], heavy[r["a"]][0]), int(r["n"])]
+        filled = 0
+        for a in sorted(cells):
+            n = cells[a][1]
+            if not parts or n > target or filled + n > target:
+                bounds.append(a)
+                parts.append(max(1, -(-n // target)))
+                filled = 0
+            filled += n
+    base = [first]
+    for n in parts:
+        base.append(base[-1] + n)
+    place = _place(bounds[1:], F.col("key"))
+    pick = lambda xs: F.get(F.from_json(F.lit(json.dumps(xs)), "array<int>"), place)
+    null = F.col("key").isNull()
+    return F.when(null, F.lit(0)).otherwise(pick(base[:-1] or [0])).cast("int"), F.when(null, F.lit(first)).otherwise(pick(parts or [1])).cast("int"), base[-1]
+
+
+def _name(key, url: str | None, digest: str, ordinal: int) -> str:
+    """Record id, by content: equal rows are told apart by their ordinal."""
+    return uuid.uuid5(NAMESPACE, json.dumps([key, digest, url, ordinal])).urn
+
+
+def _record(kind: str, key, url: str | None, payload: bytes, size: int, sha: bytes, target: tuple | None, ordinal: int, date: str) -> bytes:
     digest = base64.b32encode(sha).decode()
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + payload if kind == "response" else http
-    name = uuid.uuid5(NAMESPACE, f"{key}/{ordinal}/{digest}").urn
-    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<{name}>"), ("WARC-Date", date)]
+    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<{_name(key, url, digest, ordinal)}>"), ("WARC-Date", date)]
     if url is not None:
         head.append(("WARC-Target-URI", url.replace("\r", "%0D").replace("\n", "%0A")))
     head += [("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}")]
     if kind == "revisit":
-        head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{uuid.uuid5(NAMESPACE, f'{target}/0/{digest}').urn}>")]
-        if target is not None:
-            head.append(("X-Refers-To-Key", str(target)))
+        head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<{_name(target[0], target[1], digest, 0)}>")]
+        if target[0] is not None:
+            head.append(("X-Refers-To-Key", str(target[0])))
     if key is not None:
         head.append(("X-Key", str(key)))
     head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
@@ -117,6 +142,19 @@ def _packed(data: bytes, level: int) -> bytes:
     return z.compress(data) + z.flush()
 
 
+def _commit(fs: pafs.FileSystem, temp: str, final: str, size: int) -> None:
+    """Renames a complete file; one that another attempt left under the same name, by content, will do."""
+    there = lambda: (x := fs.get_file_info(final)).type == pafs.FileType.File and x.size == size
+    if not there():
+        try:
+            fs.move(temp, final)
+            return
+        except OSError:  # where a rename does not replace: another attempt was faster
+            if not there():
+                raise
+    fs.delete_file(temp)
+
+
 class _Roll:
     """Files of one shard. Each is written under a temporary name and renamed when it is complete."""
 
@@ -127,8 +165,8 @@ class _Roll:
 
     def add(self, member: bytes, responses: int) -> None:
         if self.out is None:
-            self.final = f"part-{self.shard:06d}-{self.n:04d}.warc.gz"
-            self.temp = f"{self.root}/.{self.final}.{self.attempt}.tmp"
+            self.stem = f"part-{self.shard:06d}-{self.n:04d}"
+            self.temp = f"{self.root}/.{self.stem}.{self.attempt}.tmp"
             self.out, self.size, self.records, self.responses, self.sum = self.fs.open_output_stream(self.temp, compression=None), 0, 0, 0, hashlib.sha256()
             self.n += 1
         self.out.write(member)
@@ -141,8 +179,9 @@ class _Roll:
         if self.out is not None:
             self.out.close()
             self.out = None
-            self.fs.move(self.temp, f"{self.root}/{self.final}")
-            self.done.append((self.final, self.shard, self.records, self.responses, self.size, self.sum.hexdigest()))
+            final = f"{self.stem}-{self.sum.hexdigest()[:16]}.warc.gz"
+            _commit(self.fs, self.temp, f"{self.root}/{final}", self.size)
+            self.done.append((final, self.shard, self.records, self.responses, self.size, self.sum.hexdigest()))
 
 
 MANIFEST = T.StructType([T.StructField("file", T.StringType()), T.StructField("shard", T.IntegerType()), T.StructField("records", T.LongType()), T.StructField("responses", T.LongType()), T.StructField("bytes", T.LongType()), T.StructField("sha256", T.StringType())])
@@ -152,35 +191,39 @@ def write_warc(pages: DataFrame, folder: str, key_col: str = "page_id", url_col:
     """Writes all rows below ``folder`` (a URI that every executor reaches) and returns the manifest's files.
 
     ``key_col`` is an integer column. Shards hold about ``min(shard_bytes, total / min_shards)``
-    payload bytes; ``roll_bytes`` bounds a file's compressed size but for its last record.
+    payload bytes, and each is one task; ``roll_bytes`` bounds a file's compressed size but for its last record.
     """
     rows = pages.select(F.col(key_col).cast("long").alias("key"), F.col(url_col).alias("url"), F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("size", F.octet_length("payload").cast("long")).withColumn("sha", F.unhex(F.sha1("payload")))
-    narrow = rows.select("key", "size", "sha")
-    shard, shards = _shards(narrow.select("key", "size"), shard_bytes, min_shards)
+    narrow = rows.select("key", "url", "size", "sha")
+    base, parts, shards = _shards(narrow.select("key", "size"), shard_bytes, min_shards)
     marks = _decisions(narrow, least_revisit)
-    both = rows.select("key", "url", "payload", "size", "sha", F.lit(None).cast("long").alias("target"), F.lit(1).alias("order"), F.lit(False).alias("mark"))
-    both = both.unionByName(marks.select("key", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), F.lit(None).cast("long").alias("size"), "sha", "target", F.lit(0).alias("order"), F.lit(True).alias("mark")))
-    dealt = both.withColumn("shard", shard).repartition(shards, "shard").sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "sha", "order", "url")
+    none = lambda kind: F.lit(None).cast(kind)
+    part = F.pmod(F.xxhash64("sha", "url"), parts).cast("int")  # rows equal in key, payload and URL stay together
+    full = rows.select("key", "url", "payload", "size", "sha", none("long").alias("target"), none("string").alias("target_url"), F.lit(1).alias("order"), F.lit(False).alias("mark"), (base + part).alias("shard"))
+    told = marks.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))  # to every shard of the key
+    told = told.select("key", none("string").alias("url"), none("binary").alias("payload"), none("long").alias("size"), "sha", "target", "target_url", F.lit(0).alias("order"), F.lit(True).alias("mark"), (base + F.col("part")).alias("shard"))
+    dealt = full.unionByName(told).repartitionById(shards, "shard").sortWithinPartitions(F.col("key").asc_nulls_first(), "sha", "order", "url")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         attempt = f"{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex[:8]}"
-        roll, done, current, mark, ordinal = None, [], None, None, count()
+        roll, done, current, mark, seen = None, [], None, None, Counter()
         for batch in batches:
-            for key, url, payload, size, sha, target, _, is_mark, number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, url, payload, size, sha, target, target_url, _, is_mark, number in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if roll is None or roll.shard != number:
                     if roll is not None:
                         roll.close()
                         done += roll.done
                     roll, current = _Roll(folder, number, roll_bytes, attempt), None
                 if current != (key, sha):
-                    current, mark, ordinal = (key, sha), None, count()
+                    current, mark, seen = (key, sha), None, Counter()
                 if is_mark:
-                    mark = target, target == key or (target is None and key is None)
+                    mark = target, target_url
                     continue
-                k = next(ordinal)
-                revisit = mark is not None and not (mark[1] and k == 0)
-                record = _record("revisit" if revisit else "response", key, url, b"" if revisit else payload, size, sha, mark[0] if mark else None, k, date)
+                k = seen[url]
+                seen[url] += 1
+                revisit = mark is not None and not (mark == (key, url) and k == 0)
+                record = _record("revisit" if revisit else "response", key, url, b"" if revisit else payload, size, sha, mark, k, date)
                 roll.add(_packed(record, level), int(not revisit))
         if roll is not None:
             roll.close()

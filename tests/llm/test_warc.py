@@ -73,3 +73,26 @@ def test_empty_table_and_skewed_keys(spark, tmp_path):
     assert sum(f["records"] for f in files) == 301 and len(files) > 3
     got = [r.key for r in warc.read_warc(spark, f"file://{tmp_path}/s").collect()]
     assert sorted(got) == sorted(r[0] for r in rows)
+
+
+def test_one_key_and_no_key_are_cut(spark, tmp_path):
+    rows = [(7, f"u{i}", "same" if i % 3 else f"own {i} " * 20) for i in range(300)] + [(None, f"n{i}", f"none {i} " * 20) for i in range(100)] + [(None, None, "lone")] * 3 + [(i, "v", "same") for i in range(8, 30)]
+    files = warc.write_warc(table(spark, rows), f"file://{tmp_path}/k", shard_bytes=3000, min_shards=2)
+    assert max(f["records"] for f in files) < 150 and len({f["shard"] for f in files}) > 8
+    got = warc.read_warc(spark, f"file://{tmp_path}/k").collect()
+    assert sorted(map(str, ((r.key, r.url, r.payload_digest) for r in got))) == sorted(map(str, ((k, u, sha(h)) for k, u, h in rows)))
+    assert len({r.record_id for r in got}) == len(rows)
+    same = [r for r in got if r.payload_digest == sha("same")]
+    assert [(r.key, r.url) for r in same if r.record_type == "response"] == [(7, "u1")]
+    assert {r.refers_to for r in same if r.record_type == "revisit"} == {7}
+    assert sorted((r.record_type, r.refers_to) for r in got if r.payload_digest == sha("lone")) == [("response", None), ("revisit", None), ("revisit", None)]
+
+
+def test_a_file_of_a_lost_attempt_is_taken(tmp_path):
+    import pyarrow.fs as pafs
+
+    fs = pafs.LocalFileSystem()
+    for name in ("a", "b"):
+        (tmp_path / name).write_bytes(b"content")
+        warc._commit(fs, f"{tmp_path}/{name}", f"{tmp_path}/final", 7)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["final"]
