@@ -2,8 +2,10 @@
 
 The trees see lexical features only: length, depth, digit ratio, entropy, parameter counts and
 the block rate of the host's suffixes. Labels are the verdicts of the rules. Training reads a
-bounded sample of labelled URLs (``TRAIN_ROWS``, chosen by hash); the fitted trees are compiled
-into one expression, so that judging every row is a projection without user functions.
+bounded sample of labelled URLs (``TRAIN_ROWS``, chosen by hash). One half of it gives the suffixes'
+rates and the other fits the trees, so that these learn what a rate is worth on new URLs. The
+fitted trees are compiled into one expression, so that judging every row is a projection without
+user functions.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no rule and is
 judged by the trees (its features are those of an empty text); without labels, or with one
@@ -13,7 +15,9 @@ empty table gives an empty table; other columns pass through.
 
 from __future__ import annotations
 
+import json
 import math
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_ROWS = 20_000
-SUFFIXES = 256
 TREES, DEPTH, RATE, BINS = 24, 3, 0.3, 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,10 +99,15 @@ class Model:
 
 
 def _suffix_rate(suffix: Column, model: Model) -> Column:
+    """The suffix's rate from a constant hash table of small maps; the mean rate for suffixes that the sample lacks."""
     if not model.suffixes:
         return F.lit(model.suffix_rate)
-    table = F.create_map(*(F.lit(x) for pair in sorted(model.suffixes.items()) for x in pair))
-    return F.coalesce(F.element_at(table, suffix), F.lit(model.suffix_rate))
+    slots: list[dict[str, float]] = [{} for _ in range(1 << max(0, (len(model.suffixes) // 4).bit_length()))]
+    for s, rate in sorted(model.suffixes.items()):
+        slots[zlib.crc32(s.encode()) % len(slots)][s] = rate
+    table = F.from_json(F.lit(json.dumps(slots)), "array<map<string,double>>")
+    slot = (F.crc32(F.encode(suffix, "UTF-8")) % len(slots)).cast("int")
+    return F.coalesce(F.element_at(F.get(table, slot), suffix), F.lit(model.suffix_rate))
 
 
 def _columns(url: Column, host: Column, path: Column) -> dict[str, Column]:
@@ -113,21 +121,25 @@ def fit(urls: DataFrame, url_col: str = "url", rules: tuple[UrlRule, ...] = RULE
     labelled = split.withColumn("label", rule_of(F.col("h"), F.col("p"), rules)[1]).filter("label is not null").select("u", "h", "p", (F.col("label") == "block").cast("int").alias("y"))
     sample = labelled.groupBy("u", "h", "p").agg(F.max("y").alias("y")).orderBy(F.xxhash64("u"), "u").limit(rows)
     features = _columns(F.col("u"), F.col("h"), F.col("p"))
-    got = sample.select("y", *(c.alias(k) for k, c in features.items())).collect()
+    got = sample.select("u", "y", *(c.alias(k) for k, c in features.items())).collect()
     y = np.array([r["y"] for r in got], float)
     if not len(y) or y.min() == y.max():
         return Model(prior=-4.0 if not len(y) or y[0] == 0 else 4.0)
     base = float(y.mean())
     model = Model(prior=math.log(base / (1 - base)), suffix_rate=base)
+    half = np.array([zlib.crc32((r["u"] or "").encode()) & 1 for r in got], bool)
     counts: dict[str, list[float]] = {}
-    for r in got:
+    for r in (r for r, other in zip(got, half, strict=True) if not other):
         for s in {r["suffix"], r["domain"]}:
             c = counts.setdefault(s, [0.0, 0.0])
             c[0], c[1] = c[0] + r["y"], c[1] + 1
-    for s, (pos, n) in sorted(counts.items(), key=lambda kv: (-kv[1][1], kv[0]))[:SUFFIXES]:
-        model.suffixes[s] = (pos + 5 * base) / (n + 5)
+    model.suffixes = {s: (pos + 5 * base) / (n + 5) for s, (pos, n) in sorted(counts.items())}
     names = [k for k in features if k not in ("suffix", "domain")]
-    x = np.array([[float(r[k]) for k in names] + [model.suffixes.get(r["suffix"], base), model.suffixes.get(r["domain"], base)] for r in got])
+    fitting = [r for r, other in zip(got, half, strict=True) if other]
+    x = np.array([[float(r[k]) for k in names] + [model.suffixes.get(r["suffix"], base), model.suffixes.get(r["domain"], base)] for r in fitting]).reshape(-1, len(names) + 2)
+    y = y[half]
+    if not len(y):
+        return model
     model.trees = _boost(x, y, [*names, "suffix_rate", "domain_rate"], model.prior)
     return model
 
