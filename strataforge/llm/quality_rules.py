@@ -43,7 +43,6 @@ class Rule:
 
 #: The production table. Ratios are per word or per line; see ``measures``.
 RULES = (
-    Rule("too_long", "n_words", most=10_000_000),
     Rule("word_length", "mean_word_length", least=1.5, most=25.0),
     Rule("symbols", "symbols_per_word", most=0.25),
     Rule("exclamations", "exclamations_per_word", most=0.5),

@@ -107,7 +107,7 @@ m AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND word_chars BETWEEN 1.5 * n_words AND 25 * n_words AND n_symbols <= 0.25 * n_words AND n_bang <= 0.5 * n_words
-  AND n_stop >= 0.02 * n_words AND n_dup_lines <= 0.5 * n_lines AND n_bullets <= 0.9 * n_lines AND n_words <= 10000000 AS kept
+  AND n_stop >= 0.02 * n_words AND n_dup_lines <= 0.5 * n_lines AND n_bullets <= 0.9 * n_lines AS kept
 FROM b""",
     "op5_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
