@@ -38,7 +38,7 @@ from strataforge.llm.shared import Scratch, stored
 
 FIT_ROWS = 20_000
 PARTS, CODES = 16, 256
-TILE_ROWS, TILE_QUERIES = 8192, 4096
+TILE_ROWS, TILE_QUERIES = 2048, 4096
 #: At least so many of a query's rows, by codes, are reranked exactly; fewer than twice as many but for ties.
 RERANK = 300
 COVER = 0.96
