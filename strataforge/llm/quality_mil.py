@@ -1,11 +1,12 @@
 """Quality classifier (operator 9): attention-based multiple-instance learning.
 
-A document is a bag of passages of ``PASSAGE`` words. Every passage is encoded (counts over its
-bytes and words, then a learned layer); gated attention, tanh times sigmoid, weighs the passages
-of a bag; the weighted mean of their encodings is scored by a logistic output. Only document
-labels are learned from. All passages of all documents are encoded and scored; only training
-reads a bounded sample (``TRAIN_DOCS`` of each class, and ``TRAIN_PASSAGES`` passages of each of
-these, evenly spaced).
+A document is a bag of passages of ``PASSAGE`` words. Every passage is encoded: the mean of learned
+embeddings of its words (lower-cased and hashed to ``BUCKETS``) and a learned map of counts over its
+bytes and words, through tanh. Gated attention, tanh times sigmoid, weighs the passages of a bag;
+the weighted mean of their encodings is scored by a logistic output. Only document labels are
+learned from. All passages of all documents are encoded and scored; training reads a bounded
+sample of labelled documents (``TRAIN_DOCS`` of each class, of ``training.LONGEST`` bytes at most),
+all passages of each, in mini-batches.
 
 Defined results: a null or empty text, or one without words, is one empty passage; without labels,
 or with one class only, every score is the share of label 1 (0.5 without labels). Rows are scored
@@ -26,10 +27,12 @@ from pyspark.sql import types as T
 from strataforge.llm.shared import Words, arrow_bytes, doc_runs
 from strataforge.llm.training import held_out, sample
 
-TRAIN_DOCS = 3_000  # of each class
-TRAIN_PASSAGES = 64
+TRAIN_DOCS = 2_000  # of each class
 PASSAGE = 48
-HIDDEN, ATTENTION, STEPS = 16, 8, 400
+BUCKETS = 4096
+HIDDEN, ATTENTION = 16, 8
+EPOCHS, BATCH, RATE = 12, 128, 0.01
+WORD_SEED = 1  # of the words' hashes: the same in training and scoring
 
 _CLASSES = 8
 
@@ -49,8 +52,37 @@ _CLASS = _class_table()
 N_FEATURES = _CLASSES + 10
 
 
-def passages(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features of all passages, and for each document the index of its first passage (one more than documents)."""
+@dataclass
+class Bags:
+    """Passages of some documents: features, the first passage of each document (one more than documents), and the words' buckets with their passages."""
+
+    x: np.ndarray
+    first: np.ndarray
+    words: np.ndarray
+    place: np.ndarray
+
+    def means(self, table: np.ndarray) -> np.ndarray:
+        """Mean of the rows of ``table`` that each passage's words name; zero without words."""
+        out = np.zeros((len(self.x), table.shape[1]), table.dtype)
+        if len(self.words):
+            heads = np.flatnonzero(np.diff(self.place, prepend=-1))
+            counts = np.diff(np.append(heads, len(self.words)))
+            out[self.place[heads]] = np.add.reduceat(table[self.words], heads, axis=0) / counts[:, None].astype(table.dtype)
+        return out
+
+    def spread(self, grads: np.ndarray, rows: int) -> np.ndarray:
+        """The gradient of ``means``: each passage's gradient, shared among its words, summed for each bucket."""
+        out = np.zeros((rows, grads.shape[1]))
+        if len(self.words):
+            share = grads / np.maximum(np.bincount(self.place, minlength=len(grads)), 1)[:, None]
+            order = np.argsort(self.words, kind="stable")
+            heads = np.flatnonzero(np.diff(self.words[order].astype(np.int64), prepend=-1))
+            out[self.words[order][heads]] = np.add.reduceat(share[self.place[order]], heads, axis=0)
+        return out
+
+
+def passages(raw: np.ndarray, off: np.ndarray) -> Bags:
+    """All passages of the documents whose bytes are off[d]..off[d + 1]."""
     words = Words(raw, off, lower=False)
     counts = np.diff(words.first)
     bags = np.maximum(1, -(-counts // PASSAGE))
@@ -58,7 +90,7 @@ def passages(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = int(first[-1])
     out = np.zeros((n, N_FEATURES), np.float32)
     if not len(words.begin):
-        return out, first
+        return Bags(out, first, np.zeros(0, np.uint16), np.zeros(0, np.int64))
     doc = np.repeat(np.arange(len(counts)), counts)
     place = first[doc] + (np.arange(len(doc)) - words.first[doc]) // PASSAGE  # passage of each word
     per = np.bincount(place, minlength=n).astype(np.float64)
@@ -75,7 +107,7 @@ def passages(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     size = np.zeros(n)
     size[full] = stop - begin
     length = (words.end - words.begin).astype(np.float64)
-    hashes = Words(raw, off, lower=True).hashes(1)
+    hashes = Words(raw, off, lower=True).hashes(WORD_SEED)
     mean = np.bincount(place, length, n) / np.maximum(per, 1)
     square = np.bincount(place, length**2, n) / np.maximum(per, 1)
     order = np.lexsort((hashes, place))
@@ -96,7 +128,7 @@ def passages(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     )
     for k, v in enumerate(extra):
         out[:, _CLASSES + k] = v
-    return out, first
+    return Bags(out, first, (hashes % np.uint64(BUCKETS)).astype(np.uint16), place)
 
 
 @dataclass
@@ -107,10 +139,10 @@ class Model:
     weights: dict[str, np.ndarray] | None = None
 
 
-def forward(w: dict[str, np.ndarray], x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+def forward(w: dict[str, np.ndarray], bags: Bags) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Logit of each bag, and what the gradient needs."""
-    x = (x - w["mean"]) / w["scale"]
-    h = np.tanh(x @ w["W"] + w["b"])
+    x, first = (bags.x - w["mean"]) / w["scale"], bags.first
+    h = np.tanh(x @ w["W"] + bags.means(w["E"]) + w["b"])
     t, g = np.tanh(h @ w["V"]), 1 / (1 + np.exp(-(h @ w["U"])))
     e = (t * g) @ w["a"]
     heads, bag = first[:-1], np.repeat(np.arange(len(first) - 1), np.diff(first))
@@ -121,63 +153,79 @@ def forward(w: dict[str, np.ndarray], x: np.ndarray, first: np.ndarray) -> tuple
     return z @ w["c"] + w["d"], {"x": x, "h": h, "t": t, "g": g, "att": att, "z": z, "bag": bag}
 
 
-def _gradients(w: dict[str, np.ndarray], k: dict[str, np.ndarray], delta: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
+def _gradients(w: dict[str, np.ndarray], k: dict[str, np.ndarray], delta: np.ndarray, bags: Bags) -> dict[str, np.ndarray]:
     """Of the loss whose derivative by the logits is ``delta``."""
     dz = delta[:, None] * w["c"]
     of = dz[k["bag"]]
     dh = k["att"][:, None] * of
     own = (k["h"] * of).sum(1)
-    de = k["att"] * (own - np.add.reduceat(k["att"] * own, first[:-1])[k["bag"]])
+    de = k["att"] * (own - np.add.reduceat(k["att"] * own, bags.first[:-1])[k["bag"]])
     dt, dg = de[:, None] * w["a"] * k["g"] * (1 - k["t"] ** 2), de[:, None] * w["a"] * k["t"] * k["g"] * (1 - k["g"])
     dh = dh + dt @ w["V"].T + dg @ w["U"].T
     dp = dh * (1 - k["h"] ** 2)
-    return {"c": k["z"].T @ delta, "d": delta.sum(), "a": (k["t"] * k["g"]).T @ de, "V": k["h"].T @ dt, "U": k["h"].T @ dg, "W": k["x"].T @ dp, "b": dp.sum(0)}
+    return {"c": k["z"].T @ delta, "d": delta.sum(), "a": (k["t"] * k["g"]).T @ de, "V": k["h"].T @ dt, "U": k["h"].T @ dg, "W": k["x"].T @ dp, "b": dp.sum(0), "E": bags.spread(dp, len(w["E"]))}
+
+
+def _batches(docs: list[Bags], y: np.ndarray, r: np.random.Generator):
+    """Mini-batches of documents in a random order."""
+    order = r.permutation(len(docs))
+    for a in range(0, len(order), BATCH):
+        picked = order[a : a + BATCH]
+        part = [docs[i] for i in picked]
+        sizes = [len(p.x) for p in part]
+        first = np.concatenate(([0], np.cumsum(sizes)))
+        place = np.concatenate([p.place + f for p, f in zip(part, first[:-1], strict=True)])
+        yield Bags(np.concatenate([p.x for p in part]).astype(np.float64), first, np.concatenate([p.words for p in part]), place), picked
 
 
-def train(x: np.ndarray, first: np.ndarray, y: np.ndarray, share: float, seed: int = 7) -> Model:
-    """Full-batch Adam on the logistic loss, classes weighted to their share among all labels."""
+def train(docs: list[Bags], y: np.ndarray, share: float, seed: int = 7) -> Model:
+    """Adam on the logistic loss over mini-batches, classes weighted to their share among all labels."""
     r = np.random.default_rng(seed)
-    scale = x.std(0) + 1e-3
-    w = {"mean": x.mean(0), "scale": scale, "W": r.normal(0, 0.3, (x.shape[1], HIDDEN)), "b": np.zeros(HIDDEN), "V": r.normal(0, 0.3, (HIDDEN, ATTENTION)), "U": r.normal(0, 0.3, (HIDDEN, ATTENTION)), "a": r.normal(0, 0.3, ATTENTION), "c": r.normal(0, 0.3, HIDDEN), "d": np.float64(0.0)}
-    cost = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9)) / len(y)
+    x = np.concatenate([d.x for d in docs]).astype(np.float64)
+    w = {"mean": x.mean(0), "scale": x.std(0) + 1e-3, "W": r.normal(0, 0.3, (x.shape[1], HIDDEN)), "E": r.normal(0, 0.01, (BUCKETS, HIDDEN)), "b": np.zeros(HIDDEN), "V": r.normal(0, 0.3, (HIDDEN, ATTENTION)), "U": r.normal(0, 0.3, (HIDDEN, ATTENTION)), "a": r.normal(0, 0.3, ATTENTION), "c": r.normal(0, 0.3, HIDDEN), "d": np.float64(0.0)}
+    cost = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     learned = [k for k in w if k not in ("mean", "scale")]
     m, v = ({k: np.zeros_like(w[k]) for k in learned} for _ in range(2))
-    for step in range(1, STEPS + 1):
-        logit, kept = forward(w, x, first)
-        grads = _gradients(w, kept, cost * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y), first)
-        for k in learned:
-            g = grads[k] + 1e-5 * w[k]
-            m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g**2
-            w[k] = w[k] - 0.02 * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+    step, epochs = 0, max(EPOCHS, -(-200 * BATCH // len(docs)))  # few documents are seen more often
+    for _ in range(epochs):
+        for bags, picked in _batches(docs, y, r):
+            step += 1
+            logit, kept = forward(w, bags)
+            grads = _gradients(w, kept, cost[picked] * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y[picked]) / len(picked), bags)
+            for k in learned:
+                g = grads[k] + (1e-4 if k == "E" else 1e-5) * w[k]
+                m[k], v[k] = 0.9 * m[k] + 0.1 * g, 0.999 * v[k] + 0.001 * g**2
+                w[k] = w[k] - RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
     return Model(share, w)
 
 
-def _bags(rows: DataFrame, most: int) -> DataFrame:
-    """(y, passages) of each training document, as one flat array of features."""
+def _bags(rows: DataFrame) -> DataFrame:
+    """(y, id, x, words, place) of each training document: all its passages."""
+    kind = T.StructType([T.StructField("y", T.IntegerType()), T.StructField("id", rows.schema["id"].dataType), *(T.StructField(c, T.BinaryType()) for c in ("x", "words", "place"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, off = arrow_bytes(batch.column(0))
             for a, b in doc_runs(off):
-                x, first = passages(raw[off[a] : off[b]], off[a : b + 1] - off[a])
-                cut = list(zip(first.tolist(), first.tolist()[1:], strict=False))
-                blobs = [x[np.unique(np.linspace(i, j - 1, min(most, j - i)).astype(int))].tobytes() for i, j in cut]
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), pa.array(blobs, pa.binary()), batch.column(2).slice(a, b - a)], names=["y", "passages", "id"])
+                docs = [passages(raw[off[k] : off[k + 1]], np.array([0, off[k + 1] - off[k]])) for k in range(a, b)]
+                blobs = [[d.x.tobytes() for d in docs], [d.words.tobytes() for d in docs], [d.place.astype(np.int32).tobytes() for d in docs]]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(a, b - a), batch.column(2).slice(a, b - a), *(pa.array(x, pa.binary()) for x in blobs)], names=kind.names)
 
-    kind = T.StructType([T.StructField("y", T.IntegerType()), T.StructField("passages", T.BinaryType()), T.StructField("id", rows.schema["id"].dataType)])
     return rows.select("text", "y", "id").mapInArrow(run, kind)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Model:
-    """Learns from at most ``most`` training documents of each class."""
+    """Learns from at most ``most`` training documents of each class, which are sent to the driver as features."""
     rows, share = sample(docs, labels, label, most, id_col, text_col)
-    bags = sorted(_bags(rows, TRAIN_PASSAGES).collect(), key=lambda r: r["id"])
-    y = np.array([r["y"] for r in bags], float)
+    got = sorted(_bags(rows).collect(), key=lambda r: r["id"])
+    y = np.array([r["y"] for r in got], float)
     if not len(y) or y.min() == y.max():
         return Model(share)
-    parts = [np.frombuffer(r["passages"], np.float32).reshape(-1, N_FEATURES) for r in bags]
-    first = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-    return train(np.concatenate(parts).astype(np.float64), first, y, share)
+    found = []
+    for r in got:
+        x = np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES)
+        found.append(Bags(x, np.array([0, len(x)]), np.frombuffer(r["words"], np.uint16), np.frombuffer(r["place"], np.int32).astype(np.int64)))
+    return train(found, y, share)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,11 +238,12 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "
         for batch in batches:
             raw, off = arrow_bytes(batch.column(1))
             for a, b in doc_runs(off):
-                x, first = passages(raw[off[a] : off[b]], off[a : b + 1] - off[a])
+                bags = passages(raw[off[a] : off[b]], off[a : b + 1] - off[a])
+                first = bags.first
                 if w is None:
                     p, top = np.full(b - a, share), 1 / np.diff(first)
                 else:
-                    logit, kept = forward(w, x, first)
+                    logit, kept = forward(w, bags)
                     p, top = 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -500, 500))), np.maximum.reduceat(kept["att"], first[:-1]).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(p), pa.array(np.diff(first)), pa.array(top)], names=schema.names)
 

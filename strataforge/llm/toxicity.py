@@ -2,8 +2,9 @@
 
 Folding maps every code point to a letter or a space: case, homoglyphs of other scripts and
 digits or signs that stand for letters become plain letters. Lexicon entries are word beginnings
-of ``SHORTEST`` to ``LONGEST`` folded letters, weighted by their log-odds between toxic and other
-training documents; whole words that the other documents use although an entry begins them are
+of ``SHORTEST`` to ``LONGEST`` folded letters, and shorter words as a whole, weighted by their
+log-odds between toxic and other training documents (``TRAIN_DOCS`` of each class at most, the one
+bound of the lexicon); whole words that the other documents use although an entry begins them are
 exception phrases, as are phrases that the caller passes. Each word counts with its heaviest
 entry, unless an exception covers it. A logistic curve over the total and the total by length,
 fitted on the other half of the sample, gives the score.
@@ -32,10 +33,8 @@ from strataforge.llm.shared import arrow_bytes, doc_runs, stored
 from strataforge.llm.training import held_out, sample
 
 TRAIN_DOCS = 4_000  # of each class
-LEXICON = 2_000
-EXCEPTIONS = 2_000
 SHORTEST, LONGEST = 4, 12
-LEAST_DOCS = 4
+LEAST_DOCS = 4  # toxic documents that an entry must be in: fewer say nothing
 FEATURES = 2
 
 # Letters of other scripts that look like Latin ones, and what stands for a letter.
@@ -191,12 +190,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     counts = stored(_counts(learn), "lexicon")
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
     sure = odds - F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    entries = counts.filter(~F.col("entry").endswith(" ") & (F.col("pos") >= LEAST_DOCS)).withColumn("weight", sure).filter("weight > 1.5")
-    kept = entries.orderBy(F.desc("weight"), "entry").limit(LEXICON).select("entry", "weight")
-    model.lexicon = {r["entry"]: min(r["weight"], 6.0) for r in kept.collect()}
+    usable = ~F.col("entry").endswith(" ") | (F.length("entry") <= SHORTEST)  # a short word ends in a space, and so matches as a whole
+    kept = counts.filter(usable & (F.col("pos") >= LEAST_DOCS)).withColumn("weight", sure).filter("weight > 1.5").select("entry", "weight")
+    model.lexicon = {r["entry"]: min(r["weight"], 6.0) for r in sorted(kept.collect())}
     words = counts.filter(F.col("entry").endswith(" ") & (F.col("neg") >= 3) & (F.col("neg") * (n_pos + 1) >= F.col("pos") * (n_neg + 1)))
     begun = words.withColumn("part", F.explode(F.transform(F.sequence(F.lit(SHORTEST), F.lit(LONGEST)), lambda k: F.substring(F.rtrim("entry"), F.lit(1), k)))).join(F.broadcast(kept.select(F.col("entry").alias("part"))), "part", "left_semi")
-    model.exceptions = [r["entry"].strip() for r in begun.groupBy("entry").agg(F.max("neg").alias("neg")).orderBy(F.desc("neg"), "entry").limit(EXCEPTIONS).collect()]
+    model.exceptions = sorted(r["entry"].strip() for r in begun.select("entry").distinct().collect())
     for p in phrases:
         raw = np.frombuffer(p.encode(), np.uint8)
         model.exceptions.append(folded(raw, np.array([0, len(raw)]))[0].strip())

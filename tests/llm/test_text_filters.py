@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataforge.llm import quality_mil, quality_rules, toxicity, url_filter
+from strataforge.llm import quality_mil, quality_rules, toxicity, training, url_filter
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
 ODD = [None, "", "   \n\t ", "one", "a b c a b c a b c", "x\n\nx\nx \n y\n", "Ünï wörds\u00a0stay\u2003one", "# * $ %&|<> !", "a " * 3000, "\n".join(["same line here"] * 40), "b\x0bc\x0cd\re"]
@@ -49,10 +49,12 @@ def test_rules_and_trees(spark):
 
 
 def test_trees_learn_what_the_labels_show(spark, sf):
-    pages = spark.read.parquet(sf.replace("0.001", "0.01") + "/pages.parquet")
+    pages = spark.read.parquet(sf.replace("0.001", "0.1") + "/pages.parquet")
     model = url_filter.fit(pages)
-    labelled = url_filter.judge(pages, model).filter("rule is not null").toPandas()
-    assert ((labelled.block_score >= 0.5) == (labelled.verdict == "block")).mean() > 0.8
+    apart = F.crc32(F.col("url")) % 4 == 0
+    labelled = url_filter.judge(pages.filter(apart), url_filter.fit(pages.filter(~apart))).filter("rule is not null").toPandas()
+    most = max((labelled.verdict == v).mean() for v in ("allow", "block"))
+    assert ((labelled.block_score >= 0.5) == (labelled.verdict == "block")).mean() > most + 0.1  # on URLs that no tree saw
     assert model == url_filter.fit(pages.repartition(5)) and len(model.trees) == url_filter.TREES
 
 
@@ -169,32 +171,108 @@ def test_covered_hits_in_long_texts():
     assert toxicity._outside(best, covered) == {s: w for s, w in best.items() if not any(a <= s < b for a, b in covered)}
 
 
-def test_passages_cover_all_words():
-    texts = ["", "one", "w " * 100, "a\nb " * 24, "é! " * 49]
+def bags_of(texts):
     data = [t.encode() for t in texts]
     off = np.concatenate(([0], np.cumsum([len(d) for d in data])))
-    x, first = quality_mil.passages(np.frombuffer(b"".join(data), np.uint8), off)
-    assert np.diff(first).tolist() == [1, 1, 3, 1, 2] and x.shape[1] == quality_mil.N_FEATURES
-    whole = [quality_mil.passages(np.frombuffer(d, np.uint8), np.array([0, len(d)]))[0] for d in data]
-    assert np.allclose(x, np.concatenate(whole))
+    return quality_mil.passages(np.frombuffer(b"".join(data), np.uint8), off)
+
+
+def test_passages_cover_all_words():
+    texts = ["", "one", "w " * 100, "a\nb " * 24, "é! " * 49]
+    bags = bags_of(texts)
+    assert np.diff(bags.first).tolist() == [1, 1, 3, 1, 2] and bags.x.shape[1] == quality_mil.N_FEATURES
+    assert np.allclose(bags.x, np.concatenate([bags_of([t]).x for t in texts]))
+    assert np.bincount(bags.place, minlength=8).tolist() == [0, 1, 48, 48, 4, 48, 48, 1]
+    assert bags.words[1] == bags.words[48] != bags.words[0] and bags_of(["One"]).words == bags_of(["one"]).words
+
+
+def small_network(rng, features, buckets, hidden=4, attention=3):
+    shapes = {"W": (features, hidden), "E": (buckets, hidden), "b": hidden, "V": (hidden, attention), "U": (hidden, attention), "a": attention, "c": hidden}
+    return {"mean": rng.normal(size=features), "scale": rng.uniform(1, 2, features)} | {k: rng.normal(size=n) for k, n in shapes.items()} | {"d": np.float64(0.1)}
+
+
+def test_attention_scores_by_hand():
+    rng = np.random.default_rng(1)
+    texts = ["", "one two", "the cat sat " * 40, "x " * 130 + "end"]
+    bags = bags_of(texts)
+    w = small_network(rng, quality_mil.N_FEATURES, quality_mil.BUCKETS)
+    logit, kept = quality_mil.forward(w, bags)
+    for d in range(len(texts)):
+        coded, weights = [], []
+        for p in range(bags.first[d], bags.first[d + 1]):
+            own = [w["E"][b] for b, q in zip(bags.words, bags.place, strict=True) if q == p]
+            h = np.tanh(((bags.x[p] - w["mean"]) / w["scale"]) @ w["W"] + (sum(own) / len(own) if own else 0) + w["b"])
+            gate = [np.tanh(h @ w["V"][:, k]) / (1 + np.exp(-(h @ w["U"][:, k]))) for k in range(3)]
+            coded.append(h)
+            weights.append(np.exp(sum(a * g for a, g in zip(w["a"], gate, strict=True))))
+        att = np.array(weights) / sum(weights)
+        assert np.allclose(kept["att"][bags.first[d] : bags.first[d + 1]], att)
+        assert np.isclose(logit[d], sum(a * h for a, h in zip(att, coded, strict=True)) @ w["c"] + w["d"])
 
 
 def test_gradients_of_the_attention_network():
     rng = np.random.default_rng(0)
-    x, first = rng.normal(size=(7, 5)), np.array([0, 2, 3, 7])
-    H, A = 4, 3
-    w = {"mean": np.zeros(5), "scale": np.ones(5), "W": rng.normal(size=(5, H)), "b": rng.normal(size=H), "V": rng.normal(size=(H, A)), "U": rng.normal(size=(H, A)), "a": rng.normal(size=A), "c": rng.normal(size=H), "d": np.float64(0.1)}
+    words, place = np.array([3, 1, 3, 0, 2, 2], np.uint16), np.array([0, 0, 1, 4, 4, 6])
+    bags = quality_mil.Bags(rng.normal(size=(7, 5)), np.array([0, 2, 3, 7]), words, place)
+    w = small_network(rng, 5, 4)
     delta = rng.normal(size=3)
-    grads = quality_mil._gradients(w, quality_mil.forward(w, x, first)[1], delta, first)
+    grads = quality_mil._gradients(w, quality_mil.forward(w, bags)[1], delta, bags)
     for k, g in grads.items():
-        for at in list(np.ndindex(np.shape(w[k])))[:6]:
+        for at in list(np.ndindex(np.shape(w[k])))[:16]:
             def loss(step, k=k, at=at):
                 v = {n: np.array(a, float) for n, a in w.items()}
                 v[k][at] += step
-                return quality_mil.forward(v, x, first)[0] @ delta
+                return quality_mil.forward(v, bags)[0] @ delta
             assert np.isclose((loss(1e-6) - loss(-1e-6)) / 2e-6, np.asarray(g)[at], rtol=1e-4, atol=1e-7), (k, at)
 
 
+def test_quality_learns_what_words_say(spark):
+    """Two classes of equal form, told apart by their words alone."""
+    rng = np.random.default_rng(8)
+    good, bad = (["".join(rng.permutation(list(x))) for x in ("abcdefg", "hijklmn") for _ in range(20)] for _ in range(2))
+    rows = [(i, " ".join(rng.choice(good if i % 2 else bad, 120)), "c") for i in range(400)]
+    df, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(i, i % 2, 0) for i in range(400)], LABELS)
+    got = [r for r in quality_mil.score(df, quality_mil.fit(df, labels)).collect() if r.held_out]
+    assert len(got) > 40 and np.mean([r.predicted == r.doc_id % 2 for r in got]) > 0.95
+
+
+def test_samples_hold_one_row_an_id(spark):
+    rows, labels = toxic_corpus(60)
+    many = [*rows, *[(1, f"the other text {k}", "x") for k in range(500)], (2, "z" * 5000, "x")]
+    df, known = spark.createDataFrame(many, SCHEMA), spark.createDataFrame(labels + labels, LABELS)
+    for most in (5, 1000):
+        got = training.sample(df, known, "toxic", most, longest=4000)[0].collect()
+        assert len({r.id for r in got}) == len(got) <= 2 * most
+        assert all(r.text == min(t for i, t, _ in many if i == r.id and len(t) <= 4000) for r in got)
+    for module in (toxicity, quality_mil):
+        assert module.score(df, module.fit(df, known)).count() == len(many)
+
+
+def test_lexicon_totals_by_hand():
+    rng = np.random.default_rng(5)
+    lexicon = {"blar": 2.0, "blargh": 3.5, "snort": 1.25, "no ": 1.75, "scum": 4.0}
+    model = toxicity.Model(lexicon, ["snort creek", "blarney", "scum"], [1.0, 1.0], 0.0)
+    words = ["blar", "blargh", "blarghish", "blarney", "snort", "snorting", "creek", "no", "nose", "scum", "scummy", "xscum", "the"]
+    texts = [" ".join(rng.choice(words, n)) for n in (0, 1, 5, 40, 400)]
+    got = toxicity.totals(texts, model.automaton())
+    for text, (total, n) in zip(texts, got, strict=True):
+        own = text.split()
+        spared = {i for i in range(len(own)) if own[i] in ("blarney", "scum")} | {j for i in range(len(own) - 1) if own[i : i + 2] == ["snort", "creek"] for j in (i, i + 1)}
+        want = 0.0
+        for i, word in enumerate(own):
+            fits = [v for e, v in lexicon.items() if (word == e.strip() if e.endswith(" ") else word.startswith(e))]
+            want += max(fits, default=0.0) if i not in spared else 0.0
+        assert (n, total) == (len(own), pytest.approx(want))
+
+
+def test_short_words_count_as_a_whole(spark):
+    rows, labels = toxic_corpus(300)
+    rows = [(i, t.replace("blarghish", "gak").replace("snortish", "gak").replace("gakness", "gak").replace("gakly", "gak"), x) for i, t, x in rows]
+    model = toxicity.fit(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, LABELS))
+    assert "gak " in model.lexicon
+    assert toxicity.totals(["what a gak", "what a gakkery"], model.automaton())[:, 0].tolist() == [model.lexicon["gak "], 0.0]
+
+
 def test_held_out_accuracy(spark, sf):
     d = sf.replace("0.001", "0.01")
     docs, labels = spark.read.parquet(d + "/documents.parquet"), spark.read.parquet(d + "/labels.parquet")
