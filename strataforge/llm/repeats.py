@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from strataforge.llm.shared import pack_sorted, text_bytes, unpack_sorted
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_VALUES = 2_000_000
 FAN = 8192
 REPORT = "bucket int, block int, found binary, extra binary, counts binary"
