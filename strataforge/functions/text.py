@@ -7,6 +7,7 @@ word borders, order of checks) runs in a vectorised Python function over Arrow b
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -168,21 +169,33 @@ def title_match(title: Column, allowed: Column) -> tuple[Column, Column]:
 
 # --- patches
 
-_WORD = re.compile(r"\w", re.UNICODE)
+def _letter(c: str) -> bool:
+    """Letters and numbers of any script, and the underscore."""
+    return c == "_" or unicodedata.category(c)[0] in "LN"
+
+
+def _empties_paragraph(text: str, a: int, b: int) -> bool:
+    """Whether nothing but white space is left around text[a:b] up to the nearest blank lines (two line feeds)."""
+    before, after = text[:a].rpartition("\n\n")[2], text[b:].partition("\n\n")[0]
+    return not before.strip() and not after.strip()
 
 
 def patch_text(text: str | None, patches: list[tuple[str, str]], least: int = 300, most: int = 900, most_chars: int = 120, most_share: float = 0.2) -> tuple[str | None, str | None]:
     """(new text, None), or (None, the first reason against it).
 
-    Each old excerpt must occur exactly once, overlaps counted, on word borders, and may not be a whole
-    paragraph; excerpts may not overlap; all changes together are bounded, and so is the result.
+    Each old excerpt must occur exactly once, overlaps counted, on word borders, and may not be given
+    twice or leave nothing of the paragraphs that it touches (these end at blank lines); excerpts may not
+    overlap; all changes together are bounded, and so is the result.
     """
     if text is None:
         return None, "no text"
-    spans = []
+    spans, seen = [], set()
     for old, new in patches:
         if not old or old == new:
             return None, "empty patch"
+        if old in seen:
+            return None, "excerpt given twice"
+        seen.add(old)
         at, places = text.find(old), []
         while at >= 0:
             places.append(at)
@@ -190,10 +203,9 @@ def patch_text(text: str | None, patches: list[tuple[str, str]], least: int = 30
         if len(places) != 1:
             return None, "excerpt absent" if not places else "excerpt repeated"
         a, b = places[0], places[0] + len(old)
-        inner_start, inner_end = bool(_WORD.match(old[0])), bool(_WORD.match(old[-1]))
-        if (a and inner_start and _WORD.match(text[a - 1])) or (b < len(text) and inner_end and _WORD.match(text[b])):
+        if (a and _letter(old[0]) and _letter(text[a - 1])) or (b < len(text) and _letter(old[-1]) and _letter(text[b])):
             return None, "inside a word"
-        if old.strip() in (p.strip() for p in text.split("\n") if p.strip()):
+        if _empties_paragraph(text, a, b):
             return None, "whole paragraph"
         spans.append((a, b, new))
     spans.sort()

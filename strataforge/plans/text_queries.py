@@ -198,7 +198,13 @@ def content_hash(t):
     return diff.content_hash(t.nation, ["n_nationkey"], chunk=10)
 
 
-@query()
+@query("""
+WITH d AS (SELECT doc_id, text, substr(text, 1, 39) AS b, substr(text, 40, 12) AS o, substr(text, 52) AS a FROM documents),
+why AS (SELECT *, CASE WHEN text IS NULL THEN 'no text' WHEN o IN ('', 'EDIT') THEN 'empty patch' WHEN strpos(substr(text, strpos(text, o) + 1), o) > 0 THEN 'excerpt repeated'
+  WHEN regexp_matches(right(b, 1) || left(o, 1), '^[\\p{L}\\p{N}_]{2}$') OR regexp_matches(right(o, 1) || left(a, 1), '^[\\p{L}\\p{N}_]{2}$') THEN 'inside a word'
+  WHEN regexp_matches(string_split(b, chr(10) || chr(10))[-1], '^[\\s\\p{Z}]*$') AND regexp_matches(string_split(a, chr(10) || chr(10))[1], '^[\\s\\p{Z}]*$') THEN 'whole paragraph'
+  WHEN greatest(length(o), 4) > 0.2 * length(text) THEN 'too much changed' WHEN length(b || 'EDIT' || a) NOT BETWEEN 300 AND 900 THEN 'length out of range' END AS reason FROM d)
+SELECT doc_id, CASE WHEN reason IS NULL THEN b || 'EDIT' || a END AS patched, reason FROM why""")
 def bounded_patches(t):
     patches = F.array(F.struct(F.substring("text", 40, 12).alias("old"), F.lit("EDIT").alias("new")))
     rows = t.documents.select("doc_id", "text", patches.alias("patches"))

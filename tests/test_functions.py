@@ -95,6 +95,28 @@ def test_patches(patches, reason):
         assert new == PROSE.replace("æbler", "pærer")
 
 
+LINES = "One line here.\nAnother line here.\n\nMiddle.\n\nThe end of it all."
+
+
+@pytest.mark.parametrize(
+    ("old", "reason"),
+    [
+        ("One line here.", None),  # a line of a paragraph of two
+        ("One line here.\nAnother line here.", "whole paragraph"),
+        ("Middle.", "whole paragraph"),
+        ("Middle.\n\nThe end of it all.", "whole paragraph"),  # two whole paragraphs
+        ("here.\n\nMiddle.", "excerpt absent" if "here.\n\nMiddle." not in LINES else None),  # the first keeps a part
+        ("end of", None),
+    ],
+)
+def test_a_patch_may_not_empty_a_paragraph(old, reason):
+    assert text.patch_text(LINES, [(old, "x")], least=0, most_share=1.0)[1] == reason
+
+
+def test_an_excerpt_is_given_once():
+    assert text.patch_text(LINES, [("end of", "x"), ("end of", "y")], least=0)[1] == "excerpt given twice"
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.text("ab ", max_size=30), st.text("ab", min_size=1, max_size=3))
 def test_patches_count_overlaps(body, old):
