@@ -35,10 +35,17 @@ def largest_remainder(weights: DataFrame, key: list[str], weight: str, slots: in
     return out.drop("__total", "__slots", "__rest", "__floor", "__left")
 
 
+RUN = 1 << 16
+
+
 def expanded(quotas: DataFrame, quota: str = "quota", name: str = "copy") -> DataFrame:
-    """One row for each slot, numbered from 0 inside its category; a quota of 0 or null gives none."""
-    n = F.coalesce(F.col(quota), F.lit(0)).cast("int")
-    return quotas.select("*", F.posexplode(F.array_repeat(F.lit(0), n)).alias(name, "__zero")).drop("__zero")
+    """One row for each slot, numbered from 0 inside its category; a quota of 0 or null gives none.
+
+    Slots are made in runs of ``RUN``, so that no array grows with a quota; a number beyond 2^31 is an error.
+    """
+    n = F.col(quota).cast("long")
+    runs = quotas.filter(n > 0).withColumn("__run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / RUN))))
+    return runs.withColumn(name, F.explode(F.sequence(F.col("__run") * RUN, F.least(n, (F.col("__run") + 1) * RUN) - 1))).withColumn(name, F.col(name).cast("int")).drop("__run")
 
 
 def shuffled_slots(quotas: DataFrame, key: list[str], seed: str, by: list[str] | None = None, quota: str = "quota") -> DataFrame:
@@ -123,7 +130,7 @@ def attach_by_quota(df: DataFrame, eligible: Column, sex: str, marginal: DataFra
     n = df.filter(eligible).groupBy(sex).agg(F.count(F.lit(1)).alias("__slots"))
     quota = largest_remainder(marginal.join(n, sex), [value], weight, F.col("__slots"), [sex]).select(sex, value, "quota")
     slots = shuffled_slots(quota, [value], seed, [sex]).select(sex, value, F.col("slot").alias("__i"))
-    rows = df.filter(eligible).withColumn("__i", (F.row_number().over(Window.partitionBy(sex).orderBy(id_col)) - 1).cast("long"))
+    rows = numbered(df.filter(eligible), [id_col], [sex], "__i", spread=True)
     given = rows.join(slots, [sex, "__i"], "left").select(id_col, value)
     return df.join(given, id_col, "left")
 

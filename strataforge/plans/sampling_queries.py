@@ -305,3 +305,32 @@ def freeze_origin_flow(t):
 def freeze_proportional(t):
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
     return flow.frozen(rows, ["o_orderstatus"], "o_orderpriority", "o_orderkey", 333, mode="proportional")
+
+
+@query(f"SELECT c_mktsegment, quota AS n, quota AS n_ids FROM {_lr('(SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1)', 'c_mktsegment', '120')} WHERE quota > 0")
+def freeze_origin_quotas(t):
+    """Each origin's rows in the frozen sample: the largest remainder of its share, ids once each."""
+    return freeze_origin_flow(t).join(t.customer.select("c_custkey"), "c_custkey", "left_semi").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("c_custkey").alias("n_ids"))
+
+
+@query(f"SELECT o_orderpriority, quota AS n, quota AS n_ids FROM {_lr('(SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1)', 'o_orderpriority', '333')} WHERE quota > 0")
+def freeze_proportional_quotas(t):
+    """As ``freeze_origin_quotas``, for the proportional mode."""
+    return freeze_proportional(t).join(t.orders.select("o_orderkey"), "o_orderkey", "left_semi").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("n_ids"))
+
+
+@query(f"SELECT o_orderstatus, quota AS n FROM {_lr('(SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)', 'o_orderstatus', '333')} WHERE quota > 0")
+def freeze_proportional_strata(t):
+    """Each stratum's rows in the frozen sample: its proportional quota, kept by the exchange of origins."""
+    return freeze_proportional(t).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+SELECT count(*) AS n_rows, greatest(sum((c_mktsegment = 'BUILDING')::BIGINT), floor(0.4 * count(*) + 0.5)::BIGINT)::BIGINT AS n_value,
+  greatest(0, floor(0.4 * count(*) + 0.5)::BIGINT - sum((c_mktsegment = 'BUILDING')::BIGINT))::BIGINT AS n_allocated, 0::BIGINT AS n_wrong FROM customer""")
+def missingness_totals(t):
+    """The allocation meets its target, takes eligible rows alone and changes no other."""
+    after = missingness_allocation(t).withColumnRenamed("c_mktsegment", "now").join(t.customer.select("c_custkey", "c_mktsegment", "c_acctbal"), "c_custkey")
+    fine = F.when(F.col("allocated"), (F.col("now") == "BUILDING") & (F.col("c_mktsegment") != "BUILDING") & (F.col("c_acctbal") > 0)).otherwise(F.col("now").eqNullSafe(F.col("c_mktsegment")))
+    total = lambda c: F.sum(c.cast("long"))
+    return after.agg(F.count(F.lit(1)).alias("n_rows"), total(F.col("now") == "BUILDING").alias("n_value"), total(F.col("allocated")).alias("n_allocated"), total(~fine).alias("n_wrong"))
