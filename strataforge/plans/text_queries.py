@@ -50,9 +50,9 @@ def paired_fields(t):
     return audit.invalid_rows(t.orders, buckets.paired(F.col("o_orderstatus") == "P", shown))
 
 
-@query("SELECT l_orderkey, l_linenumber, floor(l_extendedprice / 1000 + 0.5)::BIGINT AS thousands, (l_quantity = floor(l_quantity)) AS whole FROM lineitem WHERE l_partkey < 300")
+@query("SELECT l_orderkey, l_linenumber, floor(l_extendedprice / 1000 + 0.5)::BIGINT AS thousands, (l_quantity = floor(l_quantity)) AS whole FROM lineitem")
 def rounding(t):
-    return t.lineitem.filter("l_partkey < 300").select("l_orderkey", "l_linenumber", buckets.half_up(F.col("l_extendedprice") / 1000).alias("thousands"), buckets.integral(F.col("l_quantity").cast("string")).alias("whole"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", buckets.half_up(F.col("l_extendedprice") / 1000).alias("thousands"), buckets.integral(F.col("l_quantity").cast("string")).alias("whole"))
 
 
 @query("""
