@@ -16,8 +16,9 @@ node once, and only candidates move to them.
 
 Candidates of one token are not expanded into all pairs: in rounds of stars (each node against one
 centre of its token's group, another one each round) most of a group links; after each round only
-pairs of different components remain of interest. What is left is then enumerated in full, so no
-link is lost. Groups of heavy tokens are cut into parts, stars and pairs alike.
+pairs of different components remain of interest. Each round writes all postings that are left, so
+rounds end with the first that links nothing. What is left is then enumerated in full, so no link is
+lost, however many rounds there were. Groups of heavy tokens are cut into parts, stars and pairs alike.
 
 The result is exact unless several 64-bit hashes collide within one pair of documents.
 
@@ -41,6 +42,7 @@ from strataforge.llm.repeats import Counter, classes_of, counted, filter_bits, i
 from strataforge.llm.shared import Scratch, Words, arrow_bytes, chain_hashes, distinct, doc_runs, fresh_seeds, mix64, stored, window_starts
 
 ORDERS = 3
+#: At most so many rounds of stars, and none after one that joins no two components.
 STAR_ROUNDS = 5
 BUCKET_BYTES = 64 << 20  # of text, for each bucket of the sets
 #: Nodes of a heavy token that share a centre, and that are paired in one task.
@@ -255,10 +257,10 @@ def _links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
     prefixes = sets.select("node", "n_shingles", "prefix0", "places", F.col("node").alias("comp"))
     named = _postings(prefixes)
     sizes = skew.heavy_keys(named, "token").withColumnRenamed("n", "size")
-    roots = None
-    for turn in range(STAR_ROUNDS + 1):
+    roots, turn, last = None, 0, STAR_ROUNDS == 0
+    while True:
         rows = None
-        if turn == STAR_ROUNDS:
+        if last:
             pairs = _left(named, sizes, percent, scratch)
         elif not turn:
             pairs = _pairs(_starred(named, sizes, turn, percent), percent)
@@ -278,12 +280,15 @@ def _links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
                 old = skew.attached(roots, news.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
                 fresh = news.join(roots.select("node"), "node", "left_anti").select("node", F.col("up").alias("root"))
                 roots = scratch.stored(old.unionByName(fresh), "roots")
+        if last:
+            return roots
         if not turn:
             named = _postings(prefixes if step is None else prefixes.drop("comp").join(step, "node", "left").withColumn("comp", F.coalesce("root", "node")))
-        elif turn < STAR_ROUNDS:
+        else:
             rows = rows.select("node", "n", "comp", "token", "place")
             named = rows if step is None else skew.attached(rows, news.withColumnRenamed("node", "comp"), "comp", "left").withColumn("comp", F.coalesce("up", "comp")).drop("up")
-    return roots
+        turn += 1
+        last = turn == STAR_ROUNDS or step is None
 
 
 def similarity_classes(docs: DataFrame, percent: int = 75, n: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
