@@ -4,6 +4,8 @@ import html
 import re
 import unicodedata
 
+import duckdb
+
 from strataforge.functions import text as rules
 from strataforge.plans import catalogue
 
@@ -14,6 +16,16 @@ def got(spark, sf, name):
     return sorted(map(tuple, catalogue.QUERIES[name](spark, sf).collect()))
 
 
+def against_sql(spark, folder, name):
+    """The query's rows, once they equal those of its SQL (only for texts that the SQL takes whole)."""
+    con = duckdb.connect()
+    for table in folder.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}/*.parquet'")
+    rows = got(spark, folder, name)
+    assert rows == sorted(con.execute(catalogue.SQL[name]).fetchall())
+    return rows
+
+
 def turns(spark, sf):
     return [(r.conv_id, r.turn, r.text) for r in spark.read.parquet(f"{sf}/conversations.parquet").collect()]
 
@@ -64,3 +76,9 @@ def test_every_document_is_patched_repaired_and_searched(spark, sf):
     assert got(spark, sf, "clause_repair") == sorted(repaired)
     term = re.compile(r"(?i)(?<!\w)(?:and|with)(?!\w)")
     assert got(spark, sf, "restricted_terms") == sorted((doc, bool(term.search(text))) for doc, text in docs)
+
+
+def test_a_turn_without_text_has_no_items(spark, tmp_path):
+    turns = spark.createDataFrame([(1, 0, None), (1, 1, ""), (2, 0, " b a B\n")], "conv_id long, turn long, text string")
+    turns.write.parquet(f"{tmp_path}/conversations.parquet")
+    assert against_sql(spark, tmp_path, "array_dedupe_fold") == [(1, 0, ""), (1, 1, ""), (2, 0, "b a")]
