@@ -82,3 +82,9 @@ def test_a_turn_without_text_has_no_items(spark, tmp_path):
     turns = spark.createDataFrame([(1, 0, None), (1, 1, ""), (2, 0, " b a B\n")], "conv_id long, turn long, text string")
     turns.write.parquet(f"{tmp_path}/conversations.parquet")
     assert against_sql(spark, tmp_path, "array_dedupe_fold") == [(1, 0, ""), (1, 1, ""), (2, 0, "b a")]
+
+
+def test_a_document_without_text_has_no_key(spark, tmp_path):
+    docs = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "12 b A, b", "en")], "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert against_sql(spark, tmp_path, "normalised_sets") == [(1, None), (2, ""), (3, "a b")]
